@@ -13,16 +13,20 @@ from gridloom.functions.text import preprocess_text
 BROADCAST_TERMS = 200_000
 
 
-def ngrams(words: str | Column, low: int = 1, high: int = 2) -> Column:
-    """All word n-grams of an array column, in text order per length."""
-    w = F.col(words) if isinstance(words, str) else words
-    lists = []
-    for n in range(low, high + 1):
-        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(
-            F.array().cast("array<int>")
+def ngrams(words: str, low: int = 1, high: int = 2) -> Column:
+    """All word n-grams of an array column, in text order per length.
+
+    ``words`` must be a column, not an expression: it is read once per n-gram.
+    """
+    w = F.col(words)
+
+    def of_length(n: int) -> Column:
+        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1))
+        return F.transform(
+            F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.array_join(F.slice(w, i, n), " ")
         )
-        lists.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(w, i, n), " ")))
-    return F.concat(*lists)
+
+    return F.concat(*[w if n == 1 else of_length(n) for n in range(low, high + 1)])
 
 
 def clean_words(col: str) -> Column:
