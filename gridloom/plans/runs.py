@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.dates import parse_date
@@ -16,17 +18,23 @@ from gridloom.functions.metrics import gini_score
 from gridloom.models.logistic import fit_logistic, positive_probability
 from gridloom.models.splits import time_bounds, time_ordered
 from gridloom.operators.clean import prepare_players_for_run
+from gridloom.operators.encode import SetEncoder
 from gridloom.operators.joins import filter_by_ids, split_by_ids
 from gridloom.plans.features import (
     FeatureConfig,
     FeatureSelection,
     FeatureTables,
+    add_sets,
+    add_words,
     build_feature_config,
     build_feature_tables,
 )
 from gridloom.sources.scratch import materialise
 from gridloom.sources.sinks import run_record, save_run_record, save_test_predictions
 
+#: Folds prepared or fitted side by side.
+PARALLEL_FOLDS = 4
+
 
 def fold_tables(
     train: DataFrame,
@@ -43,28 +51,46 @@ def fold_tables(
     """
     dated = train.withColumn("date", parse_date("date"))
     rows = time_ordered(dated, "date", key, "__row")
-    out = []
-    for first, end in time_bounds(rows.count(), n_splits):
+    heroes, with_sets = options.get("heroes"), options.get("use_heroes", False)
+    # Whatever does not depend on the fold is worked out once and written.
+    if cfg.text_cols:
+        rows = add_words(rows, cfg, key, options.get("chat"), options.get("chat_order"))
+    if with_sets and heroes is not None:
+        encoder = SetEncoder.fit(heroes, options.get("split_teams", True))
+        rows = add_sets(rows, encoder, filter_by_ids(players, rows, key), key)
+    if cfg.text_cols or with_sets:
+        rows = materialise(rows)
+
+    def table(bounds: tuple[int, int]) -> FeatureTables:
+        first, end = bounds
         past = rows.filter(F.col("__row") < first).drop("__row")
         valid = rows.filter((F.col("__row") >= first) & (F.col("__row") < end)).drop("__row")
         sides = {}
-        if options.get("use_heroes"):
+        if with_sets:
             sides = {
                 "train_players": filter_by_ids(players, past, key),
                 "other_players": filter_by_ids(players, valid, key),
             }
         t = build_feature_tables(past, valid, cfg, key=key, **sides, **options)
-        out.append(FeatureTables(materialise(t.train), materialise(t.other), t.width, t.blocks))
-    return out
+        return FeatureTables(materialise(t.train), materialise(t.other), t.width, t.blocks)
+
+    return _at_once(train.sparkSession, table, time_bounds(rows.count(), n_splits))
+
+
+def _at_once(spark: SparkSession, work: Callable, items: Sequence) -> list:
+    """Run independent folds side by side, so that their small jobs share the cluster."""
+    with ThreadPoolExecutor(max_workers=min(len(items), PARALLEL_FOLDS)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
 
 
 def score_folds(folds: list[FeatureTables], params: Mapping | None = None) -> tuple[float, list[float]]:
     """Mean and per-fold Gini of a logistic model fitted on each fold's past."""
-    ginis = []
-    for fold in folds:
+
+    def score(fold: FeatureTables) -> float | None:
         model = fit_logistic(fold.train, **(params or {}))
-        scored = positive_probability(model, fold.other)
-        ginis.append(gini_score(scored, "label", "score"))
+        return gini_score(positive_probability(model, fold.other), "label", "score")
+
+    ginis = _at_once(folds[0].train.sparkSession, score, folds)
     known = [g for g in ginis if g is not None]
     return (sum(known) / len(known) if known else float("nan")), ginis
 
