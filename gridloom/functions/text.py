@@ -37,6 +37,16 @@ def keep_words(col: str | Column, min_length: int = 3) -> Column:
     return F.filter(col, lambda t: t.rlike(WORD) & (F.length(t) >= min_length))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows placed by key when the input has fewer files than there are task slots.
+
+    Text work is heavy per row, and a few large files would leave it to a few
+    tasks. An input of many files already fills the cluster and is not shuffled.
+    """
+    few = len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(key) if few else df
+
+
 def raw_tokens(col: str | Column) -> Column:
     return tokens(collapse_repeats(clean_case(F.coalesce(_c(col), F.lit("")))))
 
@@ -60,7 +70,7 @@ def lemmatise(
     )
     lists = mapped.groupBy(key).agg(
         F.transform(
-            F.array_sort(F.collect_list(F.struct("__at", "__lemma"))), lambda x: x["__lemma"]
+            F.sort_array(F.collect_list(F.struct("__at", "__lemma"))), lambda x: x["__lemma"]
         ).alias(out)
     )
     blank = F.array().cast("array<string>")
@@ -71,7 +81,7 @@ def preprocess_with_lemmas(
     df: DataFrame, key: str, col: str, dictionary: DataFrame, out: str = "lemmas", min_length: int = 3
 ) -> DataFrame:
     """Clean, tokenise, lemmatise, then keep words."""
-    tokenised = df.withColumn("__tokens", raw_tokens(col))
+    tokenised = spread(df, key).withColumn("__tokens", raw_tokens(col))
     done = lemmatise(tokenised, key, "__tokens", dictionary, out).drop("__tokens")
     return done.withColumn(out, keep_words(out, min_length))
 

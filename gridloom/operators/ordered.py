@@ -26,6 +26,11 @@ GROUP_ROWS_LIMIT = 1_000_000
 #: Slices per hot group in ``top_by_limit``.
 SALTS = 32
 
+#: Stretches that the positions of a group are cut into when looking up quantiles.
+_POSITION_BUCKETS = 4096
+#: Rows of a derived table that is known to be small enough for every task.
+_SMALL_ROWS = 100_000
+
 _SLICE, _POS, _SALT, _RANK = "__slice", "__pos", "__salt", "__rank"
 
 
@@ -84,16 +89,18 @@ def prefix_sums(
     order: Sequence[str | Column],
     sums: dict[str, str | Column],
     limit: int | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add running totals (including the current row) per group in key order.
 
     ``sums`` maps new column names to the values to add up. ``order`` must be
-    unique inside a group.
+    unique inside a group. ``largest`` is the size of the largest group where
+    the caller knows it.
     """
     limit = GROUP_ROWS_LIMIT if limit is None else limit
     values = {name: as_column(v) for name, v in sums.items()}
     keys = [as_column(k) for k in order]
-    if part and largest_group(df, part) <= limit:
+    if part and (largest_group(df, part) if largest is None else largest) <= limit:
         w = Window.partitionBy(*part).orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({name: F.sum(v).over(w) for name, v in values.items()})
 
@@ -198,62 +205,51 @@ def grouped_quantiles(
 ) -> DataFrame:
     """Exact quantiles: one row per group and probability -> (by..., p, value).
 
-    Counts equal values first, then finds the two order statistics next to each
-    position from running counts. No task holds a group's distinct values, which
-    the built-in exact ``percentile`` would.
+    Equal values are counted first and the counts written once. Running counts
+    then say which value covers each wanted position. No task holds a group's
+    distinct values, which the built-in exact ``percentile`` would.
     """
     if interpolation not in ("linear", "nearest"):
         raise ValueError(f"unknown interpolation: {interpolation}")
     by = list(by)
-    x = F.col(col).cast("double")
-    counts = value_counts(df.select(*by, x.alias("__v")), "__v", by, "__n")
-    upto = prefix_sums(counts, by, ["__v"], {"__hi": F.col("__n")}, limit)
-    sizes = counts.groupBy(*by).agg(F.sum("__n").alias("__size"))
-    grid = sizes.select(*by, "__size", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+    counts = materialise(value_counts(df.select(*by, F.col(col).cast("double").alias("__v")), "__v", by, "__n"))
+    sizes = counts.groupBy(*by).agg(F.sum("__n").alias("__size"), F.count("*").alias("__values"))
+    n_groups, biggest, most_values = sizes.agg(F.count("*"), F.max("__size"), F.max("__values")).first()
+    step = max(1, (biggest or 0) // _POSITION_BUCKETS)
+
+    grid = sizes.filter(F.col("__size") > 0).select(
+        *by, "__size", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
+    )
     at = F.col("p") * (F.col("__size") - 1)
     if interpolation == "nearest":
-        grid = grid.withColumn("__lo", F.floor(at + 0.5)).withColumn("__up", F.col("__lo"))
-        grid = grid.withColumn("__frac", F.lit(0.0))
+        grid = grid.withColumns({"__lo": F.floor(at + 0.5), "__up": F.floor(at + 0.5), "__frac": F.lit(0.0)})
     else:
         grid = grid.withColumns({"__lo": F.floor(at), "__up": F.ceil(at), "__frac": at - F.floor(at)})
-    # Every distinct value covers the positions [hi - n, hi). Aggregating per
-    # group and probability keeps this a partial aggregate, not a range join.
-    wanted = grid.groupBy(*by).agg(
-        F.collect_list(F.struct("p", "__lo", "__up", "__frac")).alias("__want")
-    )
+    asks = grid.select(
+        *by, "p", "__frac", "__lo", "__up", F.explode(F.array_distinct(F.array("__lo", "__up"))).alias("__pos")
+    ).withColumn(_SLICE, F.floor(F.col("__pos") / step))
+    if n_groups * len(probs) <= _SMALL_ROWS:
+        asks = F.broadcast(asks)
+
+    # A value covers the positions [hi - n, hi). It meets a position through the
+    # stretch of positions both lie in; all stretches together outnumber the
+    # values by at most _POSITION_BUCKETS per group.
+    upto = prefix_sums(counts, by, ["__v"], {"__hi": F.col("__n")}, limit, most_values or 0)
     first = F.col("__hi") - F.col("__n")
-    if by:
-        keyed = upto.alias("u").join(
-            wanted.alias("w"),
-            _all_equal("u", "w", by),
-        ).select(*[F.col(f"u.{b}").alias(b) for b in by], "__v", "__n", "__hi", "__want")
-    else:
-        want = wanted.first()
-        if want is None:
-            return df.sparkSession.createDataFrame([], "p double, value double")
-        keyed = upto.withColumn(
-            "__want",
-            F.array(*[
-                F.struct(
-                    F.lit(w["p"]).alias("p"), F.lit(w["__lo"]).alias("__lo"),
-                    F.lit(w["__up"]).alias("__up"), F.lit(w["__frac"]).alias("__frac"),
-                )
-                for w in want["__want"]
-            ]),
-        )
-    # Only values that cover a wanted position go on: at most two per probability.
-    covers = lambda w, name: (w[name] >= first) & (w[name] < F.col("__hi"))
-    hit = keyed.withColumn(
-        "__want", F.filter("__want", lambda w: covers(w, "__lo") | covers(w, "__up"))
-    ).filter(F.size("__want") > 0)
-    rows = hit.select(*by, "__v", "__n", "__hi", F.explode("__want").alias("w"))
-    at_lo, at_up = covers(F.col("w"), "__lo"), covers(F.col("w"), "__up")
-    lo, up = F.max(F.when(at_lo, F.col("__v"))), F.max(F.when(at_up, F.col("__v")))
-    frac = F.max("w.__frac")
-    return (
-        rows.groupBy(*by, F.col("w.p").alias("p"))
-        .agg(F.when(frac == 0, lo).otherwise(lo + (up - lo) * frac).alias("value"))
+    spread = upto.withColumns({
+        "__first": first,
+        _SLICE: F.explode(F.sequence(F.floor(first / step), F.floor((F.col("__hi") - 1) / step))),
+    })
+    rows = (
+        spread.alias("u")
+        .join(asks.alias("a"), _all_equal("u", "a", by) & (F.col(f"u.{_SLICE}") == F.col(f"a.{_SLICE}")))
+        .filter((F.col("a.__pos") >= F.col("u.__first")) & (F.col("a.__pos") < F.col("u.__hi")))
+        .select(*[F.col(f"u.{b}").alias(b) for b in by], "u.__v", "a.p", "a.__pos", "a.__lo", "a.__up", "a.__frac")
     )
+    lo = F.max(F.when(F.col("__pos") == F.col("__lo"), F.col("__v")))
+    up = F.max(F.when(F.col("__pos") == F.col("__up"), F.col("__v")))
+    frac = F.max("__frac")
+    return rows.groupBy(*by, "p").agg(F.when(frac == 0, lo).otherwise(lo + (up - lo) * frac).alias("value"))
 
 
 def _all_equal(left: str, right: str, names: Sequence[str]) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators.ordered import column_quantiles, group_median, prefix_sums
+from gridloom.sources.scratch import materialise
 
 
 def distinct_count(df: DataFrame, col: str, cond: Column, name: str = "n") -> DataFrame:
@@ -153,7 +154,7 @@ def bootstrap_ci(
     draws per group instead of a copy of the data per replicate.
     """
     values = df.select(key, F.col(col).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    counts = values.groupBy(key, "__v").agg(F.count("*").alias("__n"))
+    counts = materialise(values.groupBy(key, "__v").agg(F.count("*").alias("__n")))
     upto = prefix_sums(counts, [key], ["__v"], {"__hi": F.col("__n")}, limit)
     sizes = counts.groupBy(key).agg(F.sum("__n").alias("n"))
 

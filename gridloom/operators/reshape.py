@@ -24,7 +24,7 @@ def collect_ordered(df: DataFrame, key: str, value: str, order: Sequence[str], n
     Meant for groups with a small natural bound (an applicant's places, a row's
     own tokens): the list of a group is one value of one row.
     """
-    items = F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("__value"))))
+    items = F.sort_array(F.collect_list(F.struct(*order, F.col(value).alias("__value"))))
     return df.groupBy(key).agg(F.transform(items, lambda x: x["__value"]).alias(name))
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.functions.text import preprocess_text
+from gridloom.functions.text import preprocess_text, spread
 
 #: Largest vocabulary that is shipped to every task instead of being joined by shuffle.
 BROADCAST_TERMS = 200_000
@@ -36,16 +36,20 @@ def clean_words(col: str) -> Column:
 def term_counts(df: DataFrame, key: str, words: str, low: int = 1, high: int = 2) -> DataFrame:
     """(key, term, tf); ``key`` is unique.
 
-    Rows are placed by key while they are still compact word lists. The counts,
-    and the row lengths taken from them, then need no shuffle of the terms.
+    A row's own n-grams are sorted and counted by run length inside the row, so
+    counting needs no shuffle.
     """
-    return (
-        df.select(key, words)
-        .repartition(key)
-        .select(key, F.explode(ngrams(words, low, high)).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count("*").alias("tf"))
+    # No filter here: one would be pushed down together with a copy of all the text work.
+    grams = df.select(key, F.sort_array(ngrams(words, low, high)).alias("__s"))
+    at = lambda i: F.element_at("__s", i)
+    places = F.when(F.size("__s") > 0, F.sequence(F.lit(1), F.size("__s"))).otherwise(F.array().cast("array<int>"))
+    runs = grams.select(
+        key, "__s", F.filter(places, lambda i: (i == 1) | (at(i) != F.get("__s", i - 2))).alias("__at")
     )
+    run = lambda i, j: F.struct(
+        at(i).alias("term"), (F.coalesce(F.get("__at", j + 1), F.size("__s") + 1) - i).cast("long").alias("tf")
+    )
+    return runs.select(key, F.explode(F.transform("__at", run)).alias("__run")).select(key, "__run.*")
 
 
 @dataclass(frozen=True)
@@ -94,13 +98,12 @@ class TfIdf:
             .join(vocabulary, "term")
             .select(key, "term", (F.col("tf") * F.col("idf")).alias("__w"))
         )
-        # One document's terms: at most the vocabulary, and all from one row.
+        # The only shuffle. One document's terms: at most the vocabulary, all from one row.
         norm = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(key)))
         return raw.select(key, "term", (F.col("__w") / norm).alias("weight"))
 
 
 def tfidf(train: DataFrame, other: DataFrame, key: str, text: str, **options) -> DataFrame:
     """Fit on the cleaned train text, return the weights of ``other``."""
-    a = train.select(key, clean_words(text).alias("__words"))
-    b = other.select(key, clean_words(text).alias("__words"))
+    a, b = (spread(df.select(key, text), key).select(key, clean_words(text).alias("__words")) for df in (train, other))
     return TfIdf.fit(a, key, "__words", **options).transform(b, key, "__words")

@@ -211,7 +211,7 @@ _LEMMAS = """SELECT DISTINCT token, left(token, length(token) - 3) AS lemma
     UNION ALL SELECT doc_id, '' FROM dt WHERE len(tk) = 0""",
 )
 def _(t: Tables) -> DataFrame:
-    docs = t.documents.select("doc_id", text.raw_tokens("text").alias("tk"))
+    docs = text.spread(t.documents, "doc_id").select("doc_id", text.raw_tokens("text").alias("tk"))
     out = text.lemmatise(docs, "doc_id", "tk", _suffix_dictionary(docs))
     return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmas"))
 
@@ -471,7 +471,7 @@ def _(t: Tables) -> DataFrame:
        round(max(v), 6) AS adv_max, round(max(abs(v)), 6) AS abs_max, round(greatest(max(v), 0), 6) AS peak_a,
        round(greatest(-min(v), 0), 6) AS peak_b, round(avg(CASE WHEN v > 0 THEN 1.0 ELSE 0.0 END), 6) AS share_positive,
        round(max_by(v, t), 6) AS last,
-       round(avg(v) FILTER (t < 10), 6) AS third1, round(avg(v) FILTER (t >= 10 AND t < 20), 6) AS third2,
+       round(avg(v) FILTER (t < 10), 9) AS third1, round(avg(v) FILTER (t >= 10 AND t < 20), 9) AS third2,
        round(CASE WHEN var_pop(t) > 0 THEN regr_slope(v, t) ELSE 0 END, 6) AS slope,
        round(CASE WHEN var_pop(t) > 0 THEN regr_intercept(v, t) ELSE 0 END, 6) AS intercept,
        round(CASE WHEN var_pop(t) > 0 AND var_pop(v) > 0 THEN regr_r2(v, t) ELSE 0 END, 6) AS r2,
@@ -481,7 +481,8 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     s = clean.series_features(t.series, "user_id", "t", "v", [("third1", 0.0, 10.0), ("third2", 10.0, 20.0)])
     keep = ("user_id", "trend_was_imputed")
-    return s.select(*keep, *[r(c).alias(c) for c in s.columns if c not in keep])
+    digits = {"third1": 9, "third2": 9}
+    return s.select(*keep, *[r(c, digits.get(c, 6)).alias(c) for c in s.columns if c not in keep])
 
 
 @query(
