@@ -95,7 +95,8 @@ def prefix_sums(
 
     ``sums`` maps new column names to the values to add up. ``order`` must be
     unique inside a group. ``largest`` is the size of the largest group where
-    the caller knows it.
+    the caller knows it; otherwise groups are counted first, so a costly input
+    should be a written table.
     """
     limit = GROUP_ROWS_LIMIT if limit is None else limit
     values = {name: as_column(v) for name, v in sums.items()}

@@ -16,7 +16,7 @@ from gridloom.plans.allocation import ASSIGNMENT, build_applications
 from gridloom.queries.catalog import query
 from gridloom.queries.inputs import CAPACITY, DEFAULT_CAPACITY, LATER_PREFS, PREFS, Tables, r
 from gridloom.sources import sinks
-from gridloom.sources.scratch import scratch_root
+from gridloom.sources.scratch import materialise, scratch_root
 from gridloom.sources.tables import read_csv, read_table
 
 
@@ -588,7 +588,7 @@ def _(t: Tables) -> DataFrame:
     SELECT id, course, CAST(row_number() OVER (PARTITION BY course ORDER BY percentile, id) - 1 AS BIGINT) AS rank FROM app""",
 )
 def _(t: Tables) -> DataFrame:
-    apps = build_applications(t.survey, PREFS, "required")
+    apps = materialise(build_applications(t.survey, PREFS, "required"))
     return ordered.rank_in_group(apps, ["course"], ["percentile", "id"]).select("id", "course", "rank")
 
 
@@ -598,7 +598,7 @@ def _(t: Tables) -> DataFrame:
     SELECT id, course, CAST(row_number() OVER (PARTITION BY id ORDER BY pref_order, course) - 1 AS BIGINT) AS rank FROM app""",
 )
 def _(t: Tables) -> DataFrame:
-    apps = build_applications(t.survey, PREFS, "required")
+    apps = materialise(build_applications(t.survey, PREFS, "required"))
     return ordered.rank_in_group(apps, ["id"], ["pref_order", "course"]).select("id", "course", "rank")
 
 

@@ -18,6 +18,7 @@ from gridloom.queries.catalog import query
 from gridloom.queries.inputs import (
     CAPACITY, DEFAULT_CAPACITY, GROUP_SIZE, LATER_PREFS, PREFS, Tables, r,
 )
+from gridloom.sources.scratch import materialise
 
 # --- SQL of the allocation -----------------------------------------------------
 
@@ -98,14 +99,14 @@ def _(t: Tables) -> DataFrame:
 
 @query("rs4_to_wide", f"WITH {allocation_sql(PREFS, 1)}, {WIDE_SQL.format(source='survey')} SELECT * FROM wide")
 def _(t: Tables) -> DataFrame:
-    survey = t.survey
+    survey = materialise(t.survey)
     seats = allocation.allocate(survey, PREFS, "required", max_wave=1, **OPTIONS)
     return reshape.to_wide(survey, seats, "required")
 
 
 @query("rs5_finalize", f"WITH {allocation_sql(PREFS)}, {WIDE_SQL.format(source='survey')} {FINAL_SQL}")
 def flagship(t: Tables) -> DataFrame:
-    survey = t.survey
+    survey = materialise(t.survey)
     seats = allocation.allocate(survey, PREFS, "required", **OPTIONS)
     return reshape.finalize_result(reshape.to_wide(survey, seats, "required"), "required")
 
@@ -324,7 +325,7 @@ _SEASON = f"""season AS (SELECT id, percentile, required,
     f"""WITH {_SEASON}, {allocation_sql(LATER_PREFS, 3, 'season')}, {WIDE_SQL.format(source='season')} {FINAL_SQL}""",
 )
 def _(t: Tables) -> DataFrame:
-    survey = t.survey
+    survey = materialise(t.survey)
     guard = F.col("segment").isin("BUILDING", "MACHINERY")
     seats = allocation.allocate_season(survey, LATER_PREFS, "required", FORBIDDEN, guard, **OPTIONS)
     return reshape.finalize_result(reshape.to_wide(survey, seats, "required"), "required")
@@ -340,7 +341,7 @@ def _(t: Tables) -> DataFrame:
     WHERE k % 13 = 0 AND rest <> got_set AND k <> 13""",
 )
 def _(t: Tables) -> DataFrame:
-    survey = t.survey
+    survey = materialise(t.survey)
     got = reshape.to_wide(survey, allocation.allocate(survey, PREFS, "required", max_wave=1, **OPTIONS), "required")
     # The other table lists the places the other way round and lacks some of them.
     k = F.col("ID").cast("long")
