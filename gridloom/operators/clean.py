@@ -13,6 +13,7 @@ from gridloom.functions.numeric import transform_value
 from gridloom.operators.frame import drop_nulls, not_equal, to_numeric, union_aligned
 from gridloom.operators.joins import anti, filter_by_ids, lookup_null_safe
 from gridloom.operators.ordered import keep_last
+from gridloom.sources.scratch import materialise
 
 PLAYER_IDS = ("match_id", "hero_id", "player_slot")
 
@@ -98,13 +99,16 @@ class FillStats:
 def fit_fill_stats(
     df: DataFrame, value: str = "avg_mmr", outer: str = "region", inner: str = "game_mode"
 ) -> FillStats:
-    """Means by (outer, inner), by outer, and overall (0 when there is none)."""
+    """Means by (outer, inner), by outer, and overall (0 when there is none).
+
+    The tables are written, so that applying them does not fit them again.
+    """
     x = F.avg(F.col(value).try_cast("double"))
     overall = df.agg(x).first()[0]
     finite = overall is not None and overall == overall and abs(overall) != float("inf")
     return FillStats(
-        df.groupBy(outer, inner).agg(x.alias("__group_mean")),
-        df.groupBy(outer).agg(x.alias("__region_mean")),
+        materialise(df.groupBy(outer, inner).agg(x.alias("__group_mean"))),
+        materialise(df.groupBy(outer).agg(x.alias("__region_mean"))),
         float(overall) if finite else 0.0,
     )
 

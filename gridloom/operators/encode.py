@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators.ordered import column_quantiles, row_index
 from gridloom.operators.reshape import to_arrays
+from gridloom.sources.scratch import materialise
 
 
 # --- category encoders -------------------------------------------------------
@@ -29,7 +30,7 @@ def one_hot(train: DataFrame, other: DataFrame, cols: Sequence[str], key: str) -
     never seen in train gives no row, which is a zero vector.
     """
     return _long(other, cols, key).join(
-        categories(train, cols).alias("d"),
+        materialise(categories(train, cols)).alias("d"),
         F.col("feature").eqNullSafe(F.col("d.f")) & F.col("category").eqNullSafe(F.col("d.c")),
         "left_semi",
     ).withColumn("value", F.lit(1))
@@ -73,7 +74,7 @@ def target_stats(
         .agg(F.count("*").alias("__n"), F.avg(F.col(y).cast("double")).alias("__mean"))
         .select(col, (F.lit(prior) * (1 - weight) + F.col("__mean") * weight).alias("__enc"))
     )
-    return table, prior
+    return materialise(table), prior
 
 
 def target_encode(
@@ -283,7 +284,7 @@ class SetEncoder:
         return SetEncoder(table, len(numbered), split_teams, **slots)
 
     def coordinates(self, players: DataFrame) -> DataFrame:
-        """(match_id, col, value) of non-zero cells; raises on an unknown item."""
+        """(match_id, col, value) of non-zero cells; running it fails on an unknown item."""
         slot = F.col("player_slot")
         sign = F.when(slot.between(*self.side_a), 1).when(slot.between(*self.side_b), -1)
         placed = (
@@ -296,10 +297,9 @@ class SetEncoder:
             .select("match_id", "hero_id", sign.alias("sign"))
             .filter(F.col("sign").isNotNull())
         )
-        unknown = placed.select("hero_id").distinct().join(self.dictionary, "hero_id", "left_anti")
-        if unknown.limit(1).count():
-            raise ValueError("the players table has items that the item table lacks")
-        cells = placed.join(self.dictionary, "hero_id")
+        unknown = F.raise_error(F.concat(F.lit("the item table lacks item "), F.col("hero_id").cast("string")))
+        found = F.when(F.col("col").isNull(), unknown.cast("int")).otherwise(F.col("col"))
+        cells = placed.join(self.dictionary, "hero_id", "left").withColumn("col", found)
         if self.split_teams:
             shift = F.when(F.col("sign") < 0, self.n_items).otherwise(0)
             cells = cells.withColumn("col", F.col("col") + shift)

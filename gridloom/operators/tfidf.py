@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import preprocess_text, spread
+from gridloom.sources.scratch import materialise
 
 #: Largest vocabulary that is shipped to every task instead of being joined by shuffle.
 BROADCAST_TERMS = 200_000
@@ -86,7 +87,7 @@ class TfIdf:
         )
         if max_features is not None:
             terms = terms.orderBy(F.col("freq").desc(), "term").limit(max_features)
-        return TfIdf(terms.select("term", idf.alias("idf")), max_features, ngram_range)
+        return TfIdf(materialise(terms.select("term", idf.alias("idf"))), max_features, ngram_range)
 
     def transform(self, df: DataFrame, key: str, words: str) -> DataFrame:
         """(key, term, weight): tf * idf, scaled to unit length per row."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -22,7 +21,7 @@ from gridloom.plans.runs import Run, fit_and_predict, fold_tables, score_folds
 from gridloom.queries.catalog import query
 from gridloom.queries.inputs import GROUP_SIZE, HOUSE_ORDER, HOUSE_X, Tables, r
 from gridloom.queries.shaping import CLEAN_SQL, TOKEN_SQL, WORD_SQL, collapse_sql
-from gridloom.sources.scratch import scratch_root
+from gridloom.sources.scratch import scratch_path
 
 # Train is three quarters of the matches by id; "other" is every match, with some
 # regions and modes that train does not have.
@@ -748,7 +747,7 @@ def _(t: Tables) -> DataFrame:
 @query("ml27_run", 'SELECT match_id AS "ID", true AS is_share FROM matches WHERE match_id % 4 = 0')
 def _(t: Tables) -> DataFrame:
     late = F.col("match_id") % 4 == 0
-    root = f"{scratch_root(t.spark)}/run-{uuid.uuid4().hex}"
+    root = scratch_path(t.spark, "run")
     run = Run(
         FeatureSelection(enabled=("region_ohe", "avg_mmr"), use_heroes=True),
         results_path=f"{root}/results", submission_path=f"{root}/submission", n_splits=2, group_size=GROUP_SIZE,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,19 +14,15 @@ from gridloom.plans.allocation import ASSIGNMENT, build_applications
 from gridloom.queries.catalog import query
 from gridloom.queries.inputs import CAPACITY, DEFAULT_CAPACITY, LATER_PREFS, PREFS, Tables, r
 from gridloom.sources import sinks
-from gridloom.sources.scratch import materialise, scratch_root
+from gridloom.sources.scratch import materialise, scratch_path
 from gridloom.sources.tables import read_csv, read_table
 
 
-def _new_path(t: Tables, name: str) -> str:
-    return f"{scratch_root(t.spark)}/{name}-{uuid.uuid4().hex}"
-
-
 # --- sources and sinks ---------------------------------------------------------
 
 @query("io1_read_csv", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def _(t: Tables) -> DataFrame:
-    path = _new_path(t, "customer")
+    path = scratch_path(t.spark, "customer")
     sinks.write_csv(t.customer, path)
     return read_csv(t.spark, path, t.customer.schema)
 
@@ -42,7 +36,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("io3_write_csv", "SELECT id, required, p1, p2 FROM survey")
 def _(t: Tables) -> DataFrame:
-    path = _new_path(t, "survey")
+    path = scratch_path(t.spark, "survey")
     sinks.write_csv(t.survey.select("id", "required", "p1", "p2"), path)
     return read_csv(t.spark, path, "id string, required long, p1 string, p2 string")
 
@@ -50,7 +44,7 @@ def _(t: Tables) -> DataFrame:
 @query("io4_submission", "SELECT match_id AS ID, round(coalesce(avg_mmr, 0) / 10000, 6) AS Value FROM matches")
 def _(t: Tables) -> DataFrame:
     scored = t.matches.select("match_id", r(F.coalesce("avg_mmr", F.lit(0.0)) / 10000).alias("score"))
-    return sinks.save_test_predictions(t.matches, scored, _new_path(t, "submission"))
+    return sinks.save_test_predictions(t.matches, scored, scratch_path(t.spark, "submission"))
 
 
 @query(
@@ -62,7 +56,7 @@ def _(t: Tables) -> DataFrame:
     # One score per region stands in for one score per fold.
     scores = [row["rate"] for row in t.matches.groupBy("region").agg(F.avg("radiant_win").alias("rate")).collect()]
     record = sinks.run_record(sum(scores) / len(scores), scores)
-    saved = sinks.save_run_record(t.spark, record, _new_path(t, "record"))
+    saved = sinks.save_run_record(t.spark, record, scratch_path(t.spark, "record"))
     return saved.select(
         r("cv_mean_gini").alias("cv_mean_gini"),
         F.size("cv_fold_ginis").cast("long").alias("n_folds"),
@@ -75,7 +69,7 @@ def _(t: Tables) -> DataFrame:
     "SELECT p_brand, CAST(count(*) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS n_same FROM part GROUP BY p_brand",
 )
 def _(t: Tables) -> DataFrame:
-    path = _new_path(t, "model")
+    path = scratch_path(t.spark, "model")
     model = StringIndexer(inputCol="p_brand", outputCol="code").fit(t.part)
     sinks.save(model, path)
     again = sinks.load(StringIndexerModel, path).setOutputCol("code_again")

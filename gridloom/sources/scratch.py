@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
 _written: list[str] = []
-_local_root: str | None = None
+_local_root: tempfile.TemporaryDirectory | None = None
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -27,21 +27,30 @@ def scratch_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CONF} to a folder that every executor can reach")
     if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="gridloom-")
-    return _local_root
+        _local_root = tempfile.TemporaryDirectory(prefix="gridloom-")
+    return _local_root.name
+
+
+def scratch_path(spark: SparkSession, name: str = "table") -> str:
+    """A new path in the scratch area that ``clear_scratch`` will delete."""
+    path = f"{scratch_root(spark)}/gridloom-{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the scratch area and return a reader of that copy."""
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/gridloom-{uuid.uuid4().hex}"
+    """Write ``df`` once to the scratch area and return a reader of that copy.
+
+    The size of the copy is known from its files, so a small fitted table joins
+    by broadcast straight away, and a large one does not.
+    """
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
-    _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def clear_scratch(spark: SparkSession) -> int:
-    """Delete the tables this process has written; returns how many."""
+    """Delete what this process has written; returns how many paths."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     count = 0
     while _written:
