@@ -21,6 +21,9 @@ from gridloom.operators.reshape import to_arrays
 from gridloom.sources.scratch import materialise
 
 
+#: Largest item dictionary that is shipped to every task.
+BROADCAST_ITEMS = 100_000
+
 # --- category encoders -------------------------------------------------------
 
 def one_hot(train: DataFrame, other: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
@@ -299,7 +302,9 @@ class SetEncoder:
         )
         unknown = F.raise_error(F.concat(F.lit("the item table lacks item "), F.col("hero_id").cast("string")))
         found = F.when(F.col("col").isNull(), unknown.cast("int")).otherwise(F.col("col"))
-        cells = placed.join(self.dictionary, "hero_id", "left").withColumn("col", found)
+        # Counted at fit time; a shuffle by item would put a popular item into one task.
+        items = F.broadcast(self.dictionary) if self.n_items <= BROADCAST_ITEMS else self.dictionary
+        cells = placed.join(items, "hero_id", "left").withColumn("col", found)
         if self.split_teams:
             shift = F.when(F.col("sign") < 0, self.n_items).otherwise(0)
             cells = cells.withColumn("col", F.col("col") + shift)

@@ -111,3 +111,22 @@ def test_bootstrap_matches_resampling(spark):
     assert row["median"] == pytest.approx(np.median(values))
     assert row["low"] == pytest.approx(low, abs=0.03)
     assert row["high"] == pytest.approx(high, abs=0.03)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_group_limits_cut_rows_before_the_shuffle(spark, skewed):
+    df, _ = skewed
+    assert _plan(ordered.latest(df, "grp", ["v", "id"])).count("WindowGroupLimit") == 2
+    capped = df.withColumn("cap", F.lit(5))
+    # Salted slices and the final ranking each limit before and after their shuffle.
+    assert _plan(ordered.top_by_limit(capped, ["grp"], ["v", "id"], "cap", 5)).count("WindowGroupLimit") == 4
+
+
+def test_no_unpartitioned_window_over_rows(spark, skewed):
+    """Only the table of slices, one row each, may meet a window without partitions."""
+    df, _ = skewed
+    plan = _plan(ordered.row_index(df, ["v", "id"]))
+    assert "SinglePartition" in plan and plan.count("Exchange SinglePartition") == 1
