@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.operators.placement import spread
+
 # The separator between messages and the patterns of the cleaning
 # rules. Letters are basic Latin and Cyrillic a-ya without yo; words are any
 # letters, digits and underscore.
@@ -37,16 +39,6 @@ def keep_words(col: str | Column, min_length: int = 3) -> Column:
     return F.filter(col, lambda t: t.rlike(WORD) & (F.length(t) >= min_length))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows placed by key when the input has fewer files than there are task slots.
-
-    Text work is heavy per row, and a few large files would leave it to a few
-    tasks. An input of many files already fills the cluster and is not shuffled.
-    """
-    few = len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(key) if few else df
-
-
 def raw_tokens(col: str | Column) -> Column:
     return tokens(collapse_repeats(clean_case(F.coalesce(_c(col), F.lit("")))))
 

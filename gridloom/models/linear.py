@@ -13,6 +13,7 @@ from pyspark.storagelevel import StorageLevel
 
 from gridloom.functions.numeric import dot
 from gridloom.models.statistics import Stats, gather
+from gridloom.operators.placement import spread
 
 
 @dataclass(frozen=True)
@@ -304,7 +305,7 @@ class Adam:
 def _training_rows(df: DataFrame, x: Sequence[str], y: str, key: Sequence[str] = ()) -> DataFrame:
     """Only the needed columns, kept for the passes that follow."""
     cols = dict.fromkeys([*key, *x, y])
-    return df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    return spread(df.select(*cols)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _descend(

@@ -1,0 +1,17 @@
+"""Placement of rows before work that is heavy per row or repeated over all rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Rows spread evenly (by key, if given) when the input has fewer files than task slots.
+
+    A few files would leave all work to a few tasks. An input of many files
+    already fills the cluster and is not shuffled.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= slots:
+        return df
+    return df.repartition(key) if key else df.repartition(slots)

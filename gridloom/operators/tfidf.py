@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.functions.text import preprocess_text, spread
+from gridloom.functions.text import preprocess_text
+from gridloom.operators.placement import spread
 from gridloom.sources.scratch import materialise
 
 #: Largest vocabulary that is shipped to every task instead of being joined by shuffle.

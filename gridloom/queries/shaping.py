@@ -12,6 +12,7 @@ from gridloom.functions import numeric, text
 from gridloom.functions.dates import extract_date_features
 from gridloom.operators import clean, frame, reshape
 from gridloom.operators.encode import SetEncoder
+from gridloom.operators.placement import spread
 from gridloom.plans import allocation
 from gridloom.plans.features import FeatureSelection, advantage_features, build_feature_config
 from gridloom.queries.catalog import query
@@ -212,7 +213,7 @@ _LEMMAS = """SELECT DISTINCT token, left(token, length(token) - 3) AS lemma
     UNION ALL SELECT doc_id, '' FROM dt WHERE len(tk) = 0""",
 )
 def _(t: Tables) -> DataFrame:
-    docs = text.spread(t.documents, "doc_id").select("doc_id", text.raw_tokens("text").alias("tk"))
+    docs = spread(t.documents, "doc_id").select("doc_id", text.raw_tokens("text").alias("tk"))
     out = text.lemmatise(docs, "doc_id", "tk", _suffix_dictionary(docs))
     return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmas"))
 
