@@ -1,10 +1,14 @@
 """Similarity join of documents on the Jaccard likeness of their word n-gram sets.
 
-MinHash signatures are cut into bands; two documents that agree in all rows of
-a band meet in the shuffle. The numbers of bands and rows follow from the
-likeness wanted and the recall to be reached at exactly that likeness. A pair
-that meets is compared by a packed sketch inside the join itself, so a bucket
-never puts out all its pairs, and what remains is verified on the full sets.
+MinHash signatures are cut into bands; the numbers of bands and rows follow from
+the likeness wanted and the recall to be reached at exactly that likeness. The
+shuffle on band hashes ties every document of a bucket to the bucket's smallest
+id, one edge each, and the components of these edges are clusters: any two
+documents that agree in a band are in one cluster. Inside a cluster all pairs
+are verified on the full sets, block against block, as products of incidence
+matrices. A block pair puts out one row per document that has links - their
+number and the smallest id they reach - and never the pairs, so the output of a
+group of near copies grows with the group and not with its square.
 
 Documents with equal n-gram sets collapse into one class before the bands, so
 thousands of copies cost one signature row each and nothing more.
@@ -35,9 +39,11 @@ NGRAM = 5
 LIKENESS = 0.8
 RECALL = 0.999
 #: Signature length that the bands may use; longer ones only cut candidates further.
-MAX_PERMUTATIONS = 144
-#: Values of the signature packed into the sketch, two bits of each.
-SKETCH = 128
+MAX_PERMUTATIONS = 224
+#: Documents of a cluster that are compared with as many others at once.
+BLOCK = 512
+#: Columns of an incidence matrix that are multiplied at once.
+_COLUMNS = 8_192
 
 
 def choose_bands(likeness: float, recall: float, permutations: int = MAX_PERMUTATIONS) -> tuple[int, int]:
@@ -53,19 +59,13 @@ def choose_bands(likeness: float, recall: float, permutations: int = MAX_PERMUTA
     return best
 
 
-def sketch_limit(likeness: float, sigmas: float = 5.0) -> int:
-    """Most differing sketch values that a pair of ``likeness`` shows, but for one in millions."""
-    differ = (1 - likeness) * 0.75
-    return min(SKETCH, math.floor(SKETCH * differ + sigmas * math.sqrt(SKETCH * differ * (1 - differ))))
-
-
 def _constants(n: int) -> tuple[np.ndarray, np.ndarray]:
     x = mix64(np.arange(1, 2 * n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return x[:n] | np.uint64(1), x[n:]
 
 
 def _signer(bands: int, rows: int, ngram: int):
-    length = max(bands * rows, SKETCH)
+    length = bands * rows
     multiply, flip = _constants(length)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,22 +88,19 @@ def _signer(bands: int, rows: int, ngram: int):
                     for r in range(rows):
                         key = mix64(key ^ signature[band * rows + r])
                     keys[band] = key
-                two = (signature[:SKETCH] & np.uint64(3)).reshape(SKETCH // 32, 32, -1)
-                sketch = (two << (np.arange(32, dtype=np.uint64) * np.uint64(2))[None, :, None]).sum(axis=1, dtype=np.uint64)
                 digests = [
                     hashlib.blake2b(np.unique(grams[a:b]).tobytes(), digest_size=16).digest()
                     for a, b in zip(first[:-1], first[1:], strict=True)
                 ]
                 found = np.where(has, np.cumsum(has) - 1, -1)
-                keys, sketch = keys.T.view(np.int64), sketch.T.view(np.int64)
+                keys = keys.T.view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(row, end - row),
                         pa.array(digests, pa.binary()),
                         pa.array([keys[i] if i >= 0 else [] for i in found], pa.list_(pa.int64())),
-                        pa.array([sketch[i] if i >= 0 else [] for i in found], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "digest", "bands", "sketch"],
+                    names=["doc_id", "digest", "bands"],
                 )
 
     return sign
@@ -122,22 +119,71 @@ def _sets(ngram: int):
     return build
 
 
-def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, shared, in either) of pairs that carry both sets; equal values stand next to each other once sorted."""
-    for batch in batches:
-        shared, either = [], []
-        left, right = batch.column(2), batch.column(3)
-        for i in range(batch.num_rows):
-            x, y = left[i].values.to_numpy(), right[i].values.to_numpy()
-            both = np.concatenate([x, y])
-            both.sort(kind="stable")  # two sorted runs
-            same = int(np.count_nonzero(both[1:] == both[:-1]))
-            shared.append(same)
-            either.append(len(both) - same)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(either, pa.int64())],
-            names=["a", "b", "shared", "either"],
-        )
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right."""
+    sets = [*left, *right]
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = times[column] > 1  # a gram of one set only is in no intersection
+    row, column = row[often], column[often]
+    by = np.argsort(column, kind="stable")
+    row, column = row[by], column[by]
+    total = np.zeros((len(left), len(right)), np.float32)
+    at = 0
+    while at < len(column):
+        end = int(np.searchsorted(column, column[at] + _COLUMNS))
+        held = np.zeros((len(sets), int(column[end - 1] - column[at]) + 1), np.float32)
+        held[row[at:end], column[at:end] - column[at]] = 1
+        total += held[: len(left)] @ held[len(left) :].T
+        at = end
+    return total.astype(np.int64)  # whole numbers far below 2^24
+
+
+def _roots(links: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Smallest id that each row reaches over the symmetric matrix ``links``."""
+    least = ids.copy()
+    while True:
+        after = np.minimum(least, np.where(links, least[None, :], np.iinfo(np.int64).max).min(axis=1))
+        if (after == least).all():
+            return least
+        least = after
+
+
+def _verifier(likeness: float):
+    millionths = round(likeness * 1_000_000)
+
+    def verify(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        cluster, low, high, block, ids, copies = (table[c].to_numpy() for c in ("cluster", "low", "high", "block", "id", "copies"))
+        grams = table["grams"].combine_chunks() if isinstance(table["grams"], pa.ChunkedArray) else table["grams"]
+        values, bounds = grams.values.to_numpy(), grams.offsets.to_numpy()
+        out: list[list[np.ndarray]] = [[], [], []]
+        order = np.lexsort((ids, cluster))
+        for rows in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
+            across = low[rows[0]] != high[rows[0]]
+            left = rows[block[rows] == low[rows[0]]]
+            right = rows[block[rows] == high[rows[0]]]
+            if not len(left) or not len(right):
+                continue
+            x, y = ([values[bounds[r] : bounds[r + 1]] for r in part] for part in (left, right))
+            shared = shared_counts(x, y)
+            either = np.array([len(g) for g in x])[:, None] + np.array([len(g) for g in y])[None, :] - shared
+            near = (shared * 1_000_000 >= either * millionths) & (ids[left][:, None] != ids[right][None, :])
+            both = np.concatenate([left, right]) if across else left
+            links = near
+            if across:
+                links = np.zeros((len(both), len(both)), bool)
+                links[: len(left), len(left) :] = near
+                links[len(left) :, : len(left)] = near.T
+            some = links.any(axis=1)
+            if some.any():
+                out[0].append(ids[both][some])
+                out[1].append(_roots(links, ids[both])[some])
+                out[2].append((links @ copies[both])[some])
+        flat = [np.concatenate(o) if o else np.zeros(0, np.int64) for o in out]
+        return pa.table([pa.array(f, pa.int64()) for f in flat], names=["id", "root", "linked"])
+
+    return verify
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -166,44 +212,6 @@ def connected(edges: DataFrame) -> DataFrame:
     )
 
 
-def join_parts(
-    documents: DataFrame, likeness: float = LIKENESS, recall: float = RECALL, ngram: int = NGRAM, permutations: int = MAX_PERMUTATIONS
-) -> tuple[DataFrame, DataFrame]:
-    """(membership, links): (doc_id, rep) for every document, (a, b, likeness) between representatives, a < b."""
-    bands, rows = choose_bands(likeness, recall, permutations)
-    texts = documents.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
-    signed = materialise(
-        texts.mapInArrow(_signer(bands, rows, ngram), "doc_id long, digest binary, bands array<long>, sketch array<long>")
-    )
-    reps = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    members = materialise(signed.select("doc_id", "digest").join(reps, "digest").select("doc_id", "rep", "digest").distinct())
-
-    first = members.filter("doc_id = rep").select("doc_id", "digest")
-    packed = [F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH // 32)]
-    held = signed.join(first, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
-    meet = held.select(F.explode("bands").alias("band"), F.col("doc_id").alias("id"), *packed)
-    x, y = meet.alias("x"), meet.alias("y")
-    differing = None
-    for i in range(SKETCH // 32):
-        apart = F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))
-        values = F.bit_count(apart.bitwiseOR(F.shiftrightunsigned(apart, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-        differing = values if differing is None else differing + values
-    pairs = materialise(
-        x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) & (differing <= sketch_limit(likeness)))
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        .distinct()
-    )
-    needed = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    # An id that holds several texts has several sets: all are compared.
-    sets = materialise(texts.join(needed, "doc_id", "left_semi").distinct().mapInArrow(_sets(ngram), "doc_id long, grams array<long>"))
-    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    counted = both.mapInArrow(_overlap, "a long, b long, shared long, either long")
-    links = counted.filter(F.col("shared") * 1_000_000 >= F.col("either") * round(likeness * 1_000_000)).groupBy("a", "b").agg(
-        F.max(F.col("shared") / F.col("either")).alias("likeness")
-    )
-    return members.select("doc_id", "rep"), materialise(links)
-
-
 def ngram_jaccard_join(
     documents: DataFrame, likeness: float = LIKENESS, recall: float = RECALL, ngram: int = NGRAM, permutations: int = MAX_PERMUTATIONS
 ) -> DataFrame:
@@ -213,18 +221,39 @@ def ngram_jaccard_join(
     smallest id reachable over links, ``n_links`` the number of other documents
     with a likeness of at least ``likeness``, copies included.
     """
-    members, links = join_parts(documents, likeness, recall, ngram, permutations)
-    sizes = members.groupBy("rep").agg(F.countDistinct("doc_id").alias("size"))
-    ways = links.select(F.col("a").alias("rep"), F.col("b").alias("other")).union(links.select("b", "a"))
-    others = ways.join(sizes.toDF("other", "n"), "other").groupBy("rep").agg(F.sum("n").alias("linked"))
-    classes = connected(links.select("a", "b")).toDF("rep", "class_id")
-    by_rep = sizes.join(others, "rep", "left").join(classes, "rep", "left").select(
-        "rep",
-        F.coalesce("class_id", "rep").alias("class_id"),
-        (F.col("size") - 1 + F.coalesce("linked", F.lit(0))).cast("long").alias("n_links"),
-    )
-    known = members.join(by_rep, "rep").groupBy("doc_id").agg(
-        F.min("class_id").alias("class_id"), F.min("rep").alias("copy_of"), F.max("n_links").alias("n_links")
+    bands, rows = choose_bands(likeness, recall, permutations)
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
+    signed = materialise(texts.mapInArrow(_signer(bands, rows, ngram), "doc_id long, digest binary, bands array<long>"))
+    classes = materialise(signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("copies")))
+    members = materialise(signed.select("doc_id", "digest").join(classes, "digest").select("doc_id", "digest", "rep", "copies").distinct())
+
+    first = members.filter("doc_id = rep").select("doc_id", "digest")
+    meet = signed.join(first, ["doc_id", "digest"], "left_semi").select(F.explode("bands").alias("band"), F.col("doc_id").alias("id")).distinct()
+    lowest = meet.groupBy("band").agg(F.min("id").alias("low"), F.count("*").alias("n")).filter("n > 1").select("band", "low")
+    ties = materialise(meet.join(lowest, "band").filter("id != low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct())
+
+    clusters = connected(ties).toDF("id", "cluster")
+    blocks = F.ceil(F.count("*") / BLOCK).cast("int")
+    sized = materialise(clusters.join(clusters.groupBy("cluster").agg(blocks.alias("blocks")), "cluster"))
+    sets = texts.join(sized.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").distinct()
+    sets = materialise(sets.mapInArrow(_sets(ngram), "doc_id long, grams array<long>")).withColumnRenamed("doc_id", "id")
+    weights = members.filter("doc_id = rep").groupBy(F.col("doc_id").alias("id")).agg(F.max("copies").alias("copies"))
+    bins = max(1, -(-sized.count() // BLOCK))
+    cut = sized.join(weights, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = cut.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    # Small clusters share a task; a block pair of a large one is a group of its own.
+    cut = cut.withColumn("bin", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(bins))).otherwise(-1 - F.col("cluster")))
+    compared = cut.select("id", "cluster", "copies", "block", "low", "high", "bin").join(sets, "id")
+    found = materialise(compared.groupBy("bin", "low", "high").applyInArrow(_verifier(likeness), "id long, root long, linked long"))
+
+    near = connected(found.select(F.col("id").alias("a"), F.col("root").alias("b"))).toDF("rep", "class_id")
+    linked = found.groupBy(F.col("id").alias("rep")).agg(F.sum("linked").alias("linked"))
+    by_rep = members.join(linked, "rep", "left").join(near, "rep", "left")
+    known = by_rep.groupBy("doc_id").agg(
+        F.min(F.coalesce("class_id", "rep")).alias("class_id"),
+        F.min("rep").alias("copy_of"),
+        F.max(F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).cast("long").alias("n_links"),
     )
     nameless = documents.filter(F.col("doc_id").isNull()).select(
         F.col("doc_id").cast("long"), *[F.lit(None).cast("long").alias(c) for c in ("class_id", "copy_of", "n_links")]
