@@ -7,6 +7,7 @@ DataFrame belongs to, so a cluster's own settings always win.
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +21,10 @@ SETTINGS = {
 }
 
 
+#: Holds the scratch folder of this process until it ends; a cluster names its own shared one.
+_scratch = tempfile.TemporaryDirectory(prefix="gridloom-")
+
+
 def local_session(app: str = "gridloom", cpus: int | None = None) -> SparkSession:
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
     builder = (
@@ -29,6 +34,7 @@ def local_session(app: str = "gridloom", cpus: int | None = None) -> SparkSessio
         .config("spark.driver.memory", "12g")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
+        .config("spark.checkpoint.dir", _scratch.name)
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

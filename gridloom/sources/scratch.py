@@ -49,12 +49,23 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def clear_scratch(spark: SparkSession) -> int:
-    """Delete what this process has written; returns how many paths."""
+def written_paths() -> list[str]:
+    """What this process has written and not deleted, oldest first."""
+    return list(_written)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written tables that no later read needs."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    count = 0
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
-        count += 1
-    return count
+        if name in _written:
+            _written.remove(name)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this process has written; returns how many paths."""
+    paths = written_paths()
+    discard(spark, paths)
+    return len(paths)
