@@ -15,8 +15,8 @@ size whose totals are added up; no leaf is gathered in one task.
 
 Defined cases: null names of a level are the name ''; a null text has no tokens
 and is taken with the documents around it; null ids share one place in the
-order; repeated rows are read one after the other; weights of 0 or null get
-nothing; an empty table gives an empty result. Other columns are ignored.
+order; repeated rows are read one after the other; leaves below a weight of 0 or
+null supply nothing; an empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ def divide(children: DataFrame, parent: list[str], name: str) -> DataFrame:
     up = order.rowsBetween(Window.unboundedPreceding, -1)
     on = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     ranked = ranked.withColumns({"taken": F.coalesce(F.sum("supply").over(up), F.lit(0)), "open": F.sum("weight").over(on)})
-    full = F.col("supply") * F.col("open") <= (F.col("budget") - F.col("taken")) * F.col("weight")
+    full = (F.col("weight") > 0) & (F.col("supply") * F.col("open") <= (F.col("budget") - F.col("taken")) * F.col("weight"))
     ranked = ranked.withColumn("full", full)
     ranked = ranked.withColumns(
         {
@@ -86,6 +86,10 @@ def leaf_budgets(leaves: DataFrame, levels: list[str], budget: int) -> DataFrame
 
     One row per leaf: as many as there are sources, not documents.
     """
+    can = F.lit(True)
+    for level in levels:
+        can = can & (F.coalesce(f"w_{level}", F.lit(0)) > 0)
+    leaves = leaves.withColumn("supply", F.when(can, F.col("supply")).otherwise(0))
     held = None
     for depth, level in enumerate(levels):
         parent = levels[:depth]

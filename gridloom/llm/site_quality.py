@@ -104,7 +104,8 @@ def fit_classifier(documents: DataFrame, labels: DataFrame, most: int = MAX_LABE
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(buckets)) < int(buckets * most / n))
     sample = materialise(known.groupBy("doc_id").agg(F.min("good").alias("good")))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("good", "text")
-    table = materialise(texts.mapInArrow(_describe, "good int, x array<double>").coalesce(8))
+    # The sample is bounded, so a few files serve the steps that follow.
+    table = materialise(texts.mapInArrow(_describe, "good int, x array<double>").repartition(8))
     size = 1 + 2 * len(STATISTICS)
     w = np.zeros(size)
     for _ in range(STEPS):
