@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -65,6 +66,8 @@ def solve_lasso(
             w[j] = new
         if biggest < tol * max(1.0, math.sqrt(c[d, d])):
             break
+    else:
+        warnings.warn(f"lasso has not converged in {max_iter} rounds", RuntimeWarning, stacklevel=2)
     m = stats.means()
     return w, float(m[d] - m[:d] @ w)
 

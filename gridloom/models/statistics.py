@@ -16,9 +16,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Up to this many columns the sums are plain generated code.
-NARROW = 8
-
 
 @dataclass(frozen=True)
 class Stats:
@@ -61,11 +58,13 @@ class Stats:
 def gather(df: DataFrame, x: Sequence[str], y: str, by: str | None = None) -> dict:
     """Statistics per value of ``by`` (one entry under None without it).
 
-    Columns are shifted by their overall means first, which keeps the products
-    small where a column's mean is large against its spread.
+    Rows with a null or NaN in any of the columns are left out, whatever the
+    number of columns. Columns are shifted by their overall means first, which
+    keeps the products small where a mean is large against its spread.
     """
     names = [*x, y]
     clean = df.select(*([by] if by else []), *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+    clean = clean.dropna(subset=[f"c{i}" for i in range(len(names))])  # NaN counts as missing here
     row = clean.agg(*[F.avg(f"c{i}") for i in range(len(names))]).first()
     if row[0] is None:
         return {}
@@ -74,29 +73,10 @@ def gather(df: DataFrame, x: Sequence[str], y: str, by: str | None = None) -> di
         *([by] if by else []),
         *[(F.col(f"c{i}") - F.lit(shift[i])).alias(f"c{i}") for i in range(len(names))],
     )
-    if len(names) <= NARROW:
-        return _narrow(shifted, len(names), shift, by)
-    return _wide(shifted, len(names), shift, by)
-
-
-def _narrow(df: DataFrame, k: int, shift: np.ndarray, by: str | None) -> dict:
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    aggs = [F.count("*").alias("n")]
-    aggs += [F.sum(f"c{i}").alias(f"t{i}") for i in range(k)]
-    aggs += [F.sum(F.col(f"c{i}") * F.col(f"c{j}")).alias(f"p{i}_{j}") for i, j in pairs]
-    rows = df.groupBy(*([by] if by else [])).agg(*aggs).collect()
-    out = {}
-    for r in rows:
-        cross = np.zeros((k, k))
-        for i, j in pairs:
-            cross[i, j] = cross[j, i] = r[f"p{i}_{j}"]
-        out[r[by] if by else None] = Stats(
-            float(r["n"]), shift, np.array([r[f"t{i}"] for i in range(k)]), cross
-        )
-    return out
+    return _sums(shifted, len(names), shift, by)
 
 
-def _wide(df: DataFrame, k: int, shift: np.ndarray, by: str | None) -> dict:
+def _sums(df: DataFrame, k: int, shift: np.ndarray, by: str | None) -> dict:
     """Each task multiplies its batches and sends one small matrix per segment."""
     cols = [f"c{i}" for i in range(k)]
     df = df.withColumn("seg", F.col(by) if by else F.lit(0)).drop(*([by] if by else []))

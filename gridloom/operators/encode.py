@@ -170,8 +170,8 @@ def quantile_bins(train: DataFrame, other: DataFrame, col: str, n_bins: int = 5)
 
 def trim_outliers(df: DataFrame, err: str, q: float = 0.95) -> DataFrame:
     """Rows whose error is strictly below its ``q`` quantile."""
-    cut = column_quantiles(df, [err], [q])[err][q]
-    return df.filter(F.col(err) < F.lit(cut))
+    cut = column_quantiles(df, [err], [q])[err].get(q)
+    return df if cut is None else df.filter(F.col(err) < F.lit(cut))
 
 
 # --- quantile -> normal ------------------------------------------------------

@@ -264,8 +264,8 @@ def column_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], interpolation: str = "linear",
     limit: int | None = None,
 ) -> dict[str, dict[float, float]]:
-    """Exact quantiles of several columns as driver values (columns x probs numbers)."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    """Exact quantiles of several columns as driver values (columns x probs numbers); NaN counts as missing."""
+    long = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
     long = long.unpivot([], list(cols), "__name", "__value") if len(cols) else None
     if long is None:
         return {}

@@ -78,11 +78,11 @@ def describe(df: DataFrame, cols: Sequence[str], interpolation: str = "linear")
     stats = ("count", "nulls", "mean", "std", "min", "max")
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))  # NaN counts as missing
         aggs += [
             F.struct(
-                F.count(c).alias("count"),
-                F.count_if(F.col(c).isNull()).alias("nulls"),
+                F.count(x).alias("count"),
+                F.count_if(x.isNull()).alias("nulls"),
                 F.avg(x).alias("mean"),
                 F.stddev_samp(x).alias("std"),
                 F.min(x).alias("min"),
@@ -122,8 +122,7 @@ def auto_bins(n: int, lo: float, hi: float, q25: float, q75: float) -> int:
 
 def histogram(df: DataFrame, col: str, bins: int | str = 10) -> DataFrame:
     """(bin, bin_left, n) over equal-width bins; the last bin includes the maximum."""
-    x = F.col(col).cast("double")
-    values = df.select(x.alias("__x")).filter(F.col("__x").isNotNull())
+    values = df.select(F.col(col).cast("double").alias("__x")).dropna()  # drops NaN too
     n, lo, hi = values.agg(F.count("*"), F.min("__x"), F.max("__x")).first()
     if not n:
         return df.sparkSession.createDataFrame([], "bin long, bin_left double, n long")

@@ -91,8 +91,9 @@ def score_folds(folds: list[FeatureTables], params: Mapping | None = None) -> tu
         return gini_score(positive_probability(model, fold.other), "label", "score")
 
     ginis = _at_once(folds[0].train.sparkSession, score, folds)
-    known = [g for g in ginis if g is not None]
-    return (sum(known) / len(known) if known else float("nan")), ginis
+    # A fold without both labels has no Gini, and then there is no mean either.
+    undefined = not ginis or any(g is None for g in ginis)
+    return (float("nan") if undefined else sum(ginis) / len(ginis)), ginis
 
 
 def cross_validate(

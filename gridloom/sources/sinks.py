@@ -11,11 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.operators.ordered import row_index
+from gridloom.sources.scratch import materialise
+from gridloom.sources.tables import CSV_TEXT, read_csv
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with header; one file per partition under ``path``."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with header; one file per partition under ``path``.
+
+    Quotes are doubled, an empty text is written as "" and a null as nothing, so
+    ``read_csv`` and other readers get every value back, line breaks included.
+    """
+    df.write.mode("overwrite").options(header=True, **CSV_TEXT).csv(path)
 
 
 def predictions_table(
@@ -29,7 +35,8 @@ def predictions_table(
     keys = [id_col] if id_col in test.columns else list(order)
     if not keys:
         raise ValueError(f"test rows have no {id_col} and no order was given")
-    if scored.count() != test.count() or test.join(scored, keys, "left_anti").limit(1).count():
+    rows = test.select(*keys, F.lit(1).alias("__more")).unionAll(scored.select(*keys, F.lit(-1).alias("__more")))
+    if rows.groupBy(*keys).agg(F.sum("__more").alias("__more")).filter(F.col("__more") != 0).limit(1).count():
         raise ValueError("the scores do not match the test rows")
     value = F.col(score).cast("double").alias("Value")
     if id_col in test.columns:
@@ -40,9 +47,9 @@ def predictions_table(
 def save_test_predictions(
     test: DataFrame, scored: DataFrame, path: str, id_col: str = "match_id", **options
 ) -> DataFrame:
-    table = predictions_table(test, scored, id_col, **options)
+    table = predictions_table(test, materialise(scored), id_col, **options)
     write_csv(table, path)
-    return table
+    return read_csv(table.sparkSession, path, table.schema)
 
 
 def run_record(

@@ -6,9 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, sep: str = ",") -> DataFrame:
-    """Delimited table with a header; the schema is given, never guessed from the data."""
-    return spark.read.csv(path, header=True, schema=schema, sep=sep)
+#: How texts are quoted, on writing and on reading.
+CSV_TEXT = {"quote": '"', "escape": '"', "emptyValue": '""', "nullValue": ""}
+
+
+def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, sep: str = ",", infer: bool = False) -> DataFrame:
+    """Delimited table with a header; quoted texts may hold line breaks.
+
+    The schema is given, or guessed by a further pass over the file where
+    ``infer`` asks for it.
+    """
+    if (schema is None) != infer:
+        raise ValueError("give a schema, or ask for it to be inferred")
+    # The reader stands its null value for a missing field, so that must differ from an empty text.
+    options = CSV_TEXT | {"emptyValue": "", "nullValue": "\0", "multiLine": True, "header": True, "sep": sep, "inferSchema": infer}
+    reader = spark.read.options(**options)
+    return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:

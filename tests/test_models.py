@@ -20,10 +20,8 @@ def data(spark):
     return spark.createDataFrame(rows, "id int, a double, b double, c double, y double").repartition(3), x, y
 
 
-@pytest.mark.parametrize("narrow", [0, 100])
-def test_statistics(data, monkeypatch, narrow):
+def test_statistics(data):
     df, x, y = data
-    monkeypatch.setattr(statistics, "NARROW", narrow)
     found = statistics.gather(df.withColumn("f", F.col("id") % 2), X, "y", "f")
     z = np.column_stack([x, y])
     for seg in (0, 1):
@@ -163,3 +161,19 @@ def test_wide_weights(data):
     assert set(models) == {True, False}
     out = linear.predict_segmented(df, models, "b", 100.0)
     assert out.filter("prediction is null").count() == 0
+
+
+@pytest.mark.parametrize("d", [3, 9])
+def test_incomplete_rows_are_left_out_at_every_width(spark, d):
+    rng = np.random.default_rng(d)
+    x = rng.normal(size=(400, d))
+    y = x @ np.arange(1, d + 1) + rng.normal(scale=0.01, size=400)
+    gaps = rng.random(400) < 0.2
+    rows = [[None if g else float(v[0]), *map(float, v[1:]), float(t)] for v, t, g in zip(x, y, gaps)]
+    rows[5][1] = float("nan")
+    df = spark.createDataFrame(rows, ", ".join(f"x{i} double" for i in range(d)) + ", y double")
+    keep = ~gaps
+    keep[5] = False
+    want = np.linalg.lstsq(np.column_stack([x[keep], np.ones(keep.sum())]), y[keep], rcond=None)[0]
+    model = linear.fit_ols(df, [f"x{i}" for i in range(d)], "y")
+    assert np.allclose([*model.weights, model.intercept], want, atol=1e-8)
