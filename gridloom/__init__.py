@@ -23,7 +23,7 @@ from gridloom.operators.profile import bootstrap_ci, correlations, describe, his
 from gridloom.operators.reshape import finalize_result, to_wide
 from gridloom.operators.tfidf import TfIdf, tfidf
 from gridloom.plans.allocation import allocate, allocate_season, build_applications, compare_assignments
-from gridloom.plans.features import FeatureConfig, FeatureSelection, build_feature_config, build_feature_tables
+from gridloom.plans.features import FeatureConfig, FeatureSelection, TextOptions, build_feature_config, build_feature_tables
 from gridloom.plans.runs import Run, cross_validate, fit_and_predict
 from gridloom.sources.sinks import ResultStore, load, save, save_test_predictions, write_csv
 from gridloom.sources.tables import read_csv, read_parquet, read_table

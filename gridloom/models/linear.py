@@ -14,7 +14,8 @@ from pyspark.storagelevel import StorageLevel
 
 from gridloom.functions.numeric import dot
 from gridloom.models.statistics import Stats, gather
-from gridloom.operators.placement import spread
+from gridloom.operators.ordered import row_index
+from gridloom.sources.scratch import materialise
 
 
 @dataclass(frozen=True)
@@ -305,10 +306,10 @@ class Adam:
         return -lr * m_hat / (np.sqrt(v_hat) + self.eps)
 
 
-def _training_rows(df: DataFrame, x: Sequence[str], y: str, key: Sequence[str] = ()) -> DataFrame:
-    """Only the needed columns, kept for the passes that follow."""
-    cols = dict.fromkeys([*key, *x, y])
-    return spread(df.select(*cols)).persist(StorageLevel.MEMORY_AND_DISK)
+def _training_rows(df: DataFrame, x: Sequence[str], y: str) -> DataFrame:
+    """Only the needed columns, spread over all task slots and kept for the passes that follow."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.select(*dict.fromkeys([*x, y])).repartition(slots).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _descend(
@@ -389,9 +390,87 @@ def fit_adam(
     return fit_gd(df, x, y, method=lambda: Adam(beta1, beta2, eps), **options)
 
 
-def _batch(rows: DataFrame, key: Sequence[str], size: int, seed: int, it: int) -> DataFrame:
-    """``size`` rows without replacement, drawn by a hash of the key and the step."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), F.lit(it), *key), *key).limit(size)
+#: Drawn rows that the driver holds at once.
+DRAWN_ROWS = 100_000
+#: Weight vectors whose losses one pass over the rows gives.
+LOSSES_AT_ONCE = 32
+
+
+def _numbered(df: DataFrame, x: Sequence[str], y: str, key: Sequence[str]) -> DataFrame:
+    """The complete rows' numbers in key order, from 0, and values; written once."""
+    values = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in dict.fromkeys([*x, y])]
+    order = [F.col(k).alias(f"__key{i}") for i, k in enumerate(key)]
+    complete = df.select(*order, *values).dropna(subset=[*x, y])
+    numbered = row_index(complete, [f"__key{i}" for i in range(len(key))], "__row")
+    return materialise(numbered.drop(*[f"__key{i}" for i in range(len(key))]))
+
+
+def _drawn(rows: DataFrame, places: np.ndarray, x: Sequence[str], y: str) -> tuple[np.ndarray, np.ndarray]:
+    """Matrix and target of the rows at these ascending places, by one join."""
+    wanted = rows.sparkSession.createDataFrame([(int(p),) for p in places], "__row long")
+    got = rows.join(F.broadcast(wanted), "__row").select("__row", *x, F.col(y).alias("__y")).toPandas().sort_values("__row")
+    return got[list(x)].to_numpy(float), got["__y"].to_numpy(float)
+
+
+def losses_at(df: DataFrame, loss, x: Sequence[str], y: str, weights: Sequence[np.ndarray]) -> list[float]:
+    """The loss at each of several weights; a pass over the rows serves ``LOSSES_AT_ONCE`` of them."""
+    found: list[float] = []
+    for start in range(0, len(weights), LOSSES_AT_ONCE):
+        part = weights[start : start + LOSSES_AT_ONCE]
+        row = df.agg(*[loss_columns(loss, x, y, w)[0].alias(f"at{i}") for i, w in enumerate(part)]).first()
+        found += [float(v) + (loss.penalty(w) if isinstance(loss, L2) else 0.0) for v, w in zip(row, part)]
+    return found
+
+
+def _stochastic(
+    df: DataFrame,
+    x: Sequence[str],
+    y: str,
+    key: Sequence[str],
+    loss,
+    batch_size: int,
+    tolerance: float,
+    max_iter: int,
+    seed: int,
+    rule: Callable[[int], Callable],
+) -> LinearModel:
+    """Shared loop of the methods that see ``batch_size`` rows a step.
+
+    The places of all batches follow from the seed, so the rows of many steps
+    come in one job, and no step reads the table. ``rule(n)`` makes the function
+    from (step, weights, places, matrix, slopes at the rows) to the weight change.
+    The losses of the whole path are worked out after it.
+    """
+    if not 0 < batch_size <= DRAWN_ROWS:
+        raise ValueError(f"a batch has 1 to {DRAWN_ROWS} rows; use full descent for more")
+    rows = _numbered(df, x, y, key)
+    n = rows.count()
+    if not n:
+        raise ValueError("no rows to fit on")
+    size, step = min(batch_size, n), rule(n)
+    core = loss.core if isinstance(loss, L2) else loss
+    path, ended = [np.zeros(len(x))], False
+    ahead = max(1, DRAWN_ROWS // size)
+    for start in range(0, max_iter, ahead):
+        batches = [
+            np.sort(np.random.default_rng((seed, it)).choice(n, size, replace=False))
+            for it in range(start, min(start + ahead, max_iter))
+        ]
+        places = np.unique(np.concatenate(batches))
+        matrix, target = _drawn(rows, places, x, y)
+        for it, batch in enumerate(batches, start):
+            w, at = path[-1], np.searchsorted(places, batch)
+            slopes = core.slope_of(matrix[at] @ w - target[at])[:, None] * matrix[at]
+            if isinstance(loss, L2):
+                slopes = slopes + loss.penalty_slope(w)
+            delta = step(it, batch, slopes)
+            path.append(w + delta)
+            ended = np.isnan(delta).any() or float(np.sum(delta**2)) < tolerance
+            if ended:
+                break
+        if ended:
+            break
+    return LinearModel(tuple(x), path[-1], 0.0, tuple(losses_at(rows, loss, x, y, path)))
 
 
 def fit_sgd(
@@ -406,18 +485,12 @@ def fit_sgd(
     max_iter: int = 1000,
     seed: int = 0,
 ) -> LinearModel:
-    """Mini-batch descent; every step draws its own rows without replacement."""
-    rows = _training_rows(df, x, y, key)
-    try:
-        return _descend(
-            x,
-            lambda w: evaluate(rows, loss, x, y, w),
-            lambda it, w, g: -lr(it) * evaluate(_batch(rows, key, batch_size, seed, it), loss, x, y, w)[1],
-            tolerance,
-            max_iter,
-        )
-    finally:
-        rows.unpersist()
+    """Mini-batch descent; every step draws its own complete rows without replacement."""
+
+    def rule(_n: int) -> Callable:
+        return lambda it, _batch, slopes: -lr(it) * slopes.mean(axis=0)
+
+    return _stochastic(df, x, y, key, loss, batch_size, tolerance, max_iter, seed, rule)
 
 
 def fit_sag(
@@ -434,29 +507,25 @@ def fit_sag(
 ) -> LinearModel:
     """Stochastic average gradient with one remembered gradient per row.
 
-    Only the drawn batch reaches the driver, and the memory holds the gradients
-    of the rows drawn so far (at most batch_size per step); a row never drawn
-    counts as zero.
+    The memory holds the gradients of the rows drawn so far (at most batch_size
+    per step); a row never drawn counts as zero.
     """
-    rows = _training_rows(df, x, y, key)
-    core = loss.core if isinstance(loss, L2) else loss
-    memory: dict[tuple, np.ndarray] = {}
-    running = np.zeros(len(x))
-    n = rows.count()
 
-    def step(it: int, w: np.ndarray, _grad: np.ndarray) -> np.ndarray:
-        nonlocal running
-        for r in _batch(rows, key, batch_size, seed, it).collect():
-            xi = np.array([float(r[c]) for c in x])
-            g = core.slope_of(xi @ w - float(r[y])) * xi
-            if isinstance(loss, L2):
-                g = g + loss.penalty_slope(w)
-            who = tuple(r[k] for k in key)
-            running = running + (g - memory.get(who, 0.0)) / n
-            memory[who] = g
-        return -lr(it) * running
+    def rule(n: int) -> Callable:
+        known, held, total = np.zeros(0, np.int64), np.zeros((0, len(x))), np.zeros(len(x))
 
-    try:
-        return _descend(x, lambda w: evaluate(rows, loss, x, y, w), step, tolerance, max_iter)
-    finally:
-        rows.unpersist()
+        def step(it: int, batch: np.ndarray, slopes: np.ndarray) -> np.ndarray:
+            nonlocal known, held, total
+            every = np.union1d(known, batch)
+            if len(every) > len(known):
+                moved = np.zeros((len(every), len(x)))
+                moved[np.searchsorted(every, known)] = held
+                known, held = every, moved
+            at = np.searchsorted(known, batch)
+            total = total + (slopes - held[at]).sum(axis=0)
+            held[at] = slopes
+            return -lr(it) * total / n
+
+        return step
+
+    return _stochastic(df, x, y, key, loss, batch_size, tolerance, max_iter, seed, rule)

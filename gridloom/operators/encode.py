@@ -21,8 +21,8 @@ from gridloom.operators.reshape import to_arrays
 from gridloom.sources.scratch import materialise
 
 
-#: Largest item dictionary that is shipped to every task.
-BROADCAST_ITEMS = 100_000
+#: Most items or categories that may become cells or columns; more are an error.
+MOST_NAMES = 100_000
 
 # --- category encoders -------------------------------------------------------
 
@@ -58,12 +58,20 @@ def one_hot_named(train: DataFrame, other: DataFrame, col: str) -> DataFrame:
 
     One column per category: the category list is as wide as the result's schema.
     """
-    values = [r[0] for r in train.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+    values = _bounded(train.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col))
     known = F.coalesce(F.col(col).isin(values), F.lit(False)) if values else F.lit(False)
     flags = {f"{col}_{v}": F.coalesce(F.col(col) == v, F.lit(False)).cast("int") for v in values}
     return other.withColumns({**flags, f"{col}_unknown": (~known).cast("int")})
 
 
+def _bounded(names: DataFrame) -> list:
+    """The only column of ``names``; raises when it is longer than ``MOST_NAMES``."""
+    found = [r[0] for r in names.limit(MOST_NAMES + 1).collect()]
+    if len(found) > MOST_NAMES:
+        raise ValueError(f"more than {MOST_NAMES} distinct values of {names.columns[0]}")
+    return found
+
+
 def target_stats(
     train: DataFrame, col: str, y: str, min_leaf: float = 20.0, smoothing: float = 10.0
 ) -> tuple[DataFrame, float]:
@@ -282,15 +290,15 @@ class SetEncoder:
             .orderBy("hero_id")
         )
         # As many rows as the encoded vectors have cells.
-        numbered = [(r[0], i) for i, r in enumerate(ids.collect())]
+        numbered = [(item, i) for i, item in enumerate(_bounded(ids))]
         table = items.sparkSession.createDataFrame(numbered, "hero_id int, col int")
         return SetEncoder(table, len(numbered), split_teams, **slots)
 
-    def coordinates(self, players: DataFrame) -> DataFrame:
-        """(match_id, col, value) of non-zero cells; running it fails on an unknown item."""
+    def placed(self, players: DataFrame) -> DataFrame:
+        """(match_id, hero_id, sign) of the rows with an item and a side."""
         slot = F.col("player_slot")
         sign = F.when(slot.between(*self.side_a), 1).when(slot.between(*self.side_b), -1)
-        placed = (
+        return (
             players.select(
                 F.col("match_id").try_cast("long").alias("match_id"),
                 F.col("hero_id").try_cast("int").alias("hero_id"),
@@ -300,11 +308,16 @@ class SetEncoder:
             .select("match_id", "hero_id", sign.alias("sign"))
             .filter(F.col("sign").isNotNull())
         )
-        unknown = F.raise_error(F.concat(F.lit("the item table lacks item "), F.col("hero_id").cast("string")))
-        found = F.when(F.col("col").isNull(), unknown.cast("int")).otherwise(F.col("col"))
-        # Counted at fit time; a shuffle by item would put a popular item into one task.
-        items = F.broadcast(self.dictionary) if self.n_items <= BROADCAST_ITEMS else self.dictionary
-        cells = placed.join(items, "hero_id", "left").withColumn("col", found)
+
+    def coordinates(self, players: DataFrame) -> DataFrame:
+        """(match_id, col, value) of non-zero cells; raises at once on an item that the table lacks."""
+        placed = self.placed(players)
+        # At most MOST_NAMES rows; a shuffle by item would put a popular item into one task.
+        items = F.broadcast(self.dictionary)
+        unknown = placed.join(items, "hero_id", "left_anti").limit(1).collect()
+        if unknown:
+            raise ValueError(f"the item table lacks item {unknown[0]['hero_id']}")
+        cells = placed.join(items, "hero_id")
         if self.split_teams:
             shift = F.when(F.col("sign") < 0, self.n_items).otherwise(0)
             cells = cells.withColumn("col", F.col("col") + shift)

@@ -8,8 +8,6 @@ hold most of the table, so:
   the rows on group *and* order, sums inside each slice and adds the totals of
   the earlier slices. Slices are pinned by a written table, because range
   boundaries come from a sample and must not differ between two reads.
-
-A plain window is used only after counting that every group is small enough.
 """
 
 from __future__ import annotations
@@ -21,8 +19,8 @@ from pyspark.sql import functions as F
 
 from gridloom.sources.scratch import materialise
 
-#: Largest group, in rows, that one window task is trusted with.
-GROUP_ROWS_LIMIT = 1_000_000
+#: Rows that salted slices may leave of a group for its last ranking in ``top_by_limit``.
+WINDOW_ROWS = 1_000_000
 #: Slices per hot group in ``top_by_limit``.
 SALTS = 32
 
@@ -76,36 +74,24 @@ def row_index(df: DataFrame, order: Sequence[str | Column], name: str = "row") -
     )
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the largest group; counted with partial aggregation."""
-    if not keys:
-        return df.count()
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
 def prefix_sums(
-    df: DataFrame,
-    part: Sequence[str],
-    order: Sequence[str | Column],
-    sums: dict[str, str | Column],
-    limit: int | None = None,
-    largest: int | None = None,
+    df: DataFrame, part: Sequence[str], order: Sequence[str | Column], sums: dict[str, str | Column]
 ) -> DataFrame:
     """Add running totals (including the current row) per group in key order.
 
     ``sums`` maps new column names to the values to add up. ``order`` must be
-    unique inside a group. ``largest`` is the size of the largest group where
-    the caller knows it; otherwise groups are counted first, so a costly input
-    should be a written table.
+    unique inside a group. A group may be of any size: it is cut where the range
+    slices are.
     """
-    limit = GROUP_ROWS_LIMIT if limit is None else limit
+    return _running(range_slices(df, [*part, *order]), part, order, sums).drop(_SLICE)
+
+
+def _running(
+    sliced: DataFrame, part: Sequence[str], order: Sequence[str | Column], sums: dict[str, str | Column]
+) -> DataFrame:
+    """``prefix_sums`` of a table that is already cut by ``range_slices`` on (part, order)."""
     values = {name: as_column(v) for name, v in sums.items()}
     keys = [as_column(k) for k in order]
-    if part and (largest_group(df, part) if largest is None else largest) <= limit:
-        w = Window.partitionBy(*part).orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({name: F.sum(v).over(w) for name, v in values.items()})
-
-    sliced = range_slices(df, [*part, *keys])
     totals = sliced.groupBy(_SLICE, *part).agg(
         *[F.sum(v).alias(f"__total_{name}") for name, v in values.items()]
     )
@@ -130,7 +116,7 @@ def prefix_sums(
         same = same & F.col(f"l.{p}").eqNullSafe(F.col(f"o.{p}"))
     joined = left.join(right, same, "left")
     return joined.select(
-        *[F.col(f"l.{c}") for c in df.columns if c not in values],
+        *[F.col(f"l.{c}") for c in sliced.columns if c not in values],
         *[
             (F.col(f"l.{n}") + F.coalesce(F.col(f"o.__before_{n}"), F.lit(0))).alias(n)
             for n in values
@@ -143,10 +129,9 @@ def rank_in_group(
     part: Sequence[str],
     order: Sequence[str | Column],
     name: str = "rank",
-    limit: int | None = None,
 ) -> DataFrame:
     """0-based rank in each group; ``order`` must end in a unique key."""
-    ranked = prefix_sums(df, part, order, {name: F.lit(1)}, limit)
+    ranked = prefix_sums(df, part, order, {name: F.lit(1)})
     return ranked.withColumn(name, (F.col(name) - 1).cast("long"))
 
 
@@ -170,7 +155,7 @@ def top_by_limit(
     if bound is None:
         bound = df.agg(F.max(limit_col)).first()[0] or 0
     keys = [as_column(k) for k in order]
-    if bound * salts > GROUP_ROWS_LIMIT:
+    if bound * salts > WINDOW_ROWS:
         ranked = rank_in_group(df, part, keys, _RANK)
         return ranked.filter(F.col(_RANK) < F.col(limit_col)).drop(_RANK)
     kept = df
@@ -202,20 +187,20 @@ def grouped_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     interpolation: str = "linear",
-    limit: int | None = None,
 ) -> DataFrame:
     """Exact quantiles: one row per group and probability -> (by..., p, value).
 
-    Equal values are counted first and the counts written once. Running counts
+    Equal values are counted first; the counts are written once, in slices. Running counts
     then say which value covers each wanted position. No task holds a group's
     distinct values, which the built-in exact ``percentile`` would.
     """
     if interpolation not in ("linear", "nearest"):
         raise ValueError(f"unknown interpolation: {interpolation}")
     by = list(by)
-    counts = materialise(value_counts(df.select(*by, F.col(col).cast("double").alias("__v")), "__v", by, "__n"))
-    sizes = counts.groupBy(*by).agg(F.sum("__n").alias("__size"), F.count("*").alias("__values"))
-    n_groups, biggest, most_values = sizes.agg(F.count("*"), F.max("__size"), F.max("__values")).first()
+    counts = value_counts(df.select(*by, F.col(col).cast("double").alias("__v")), "__v", by, "__n")
+    counts = range_slices(counts, [*by, "__v"])
+    sizes = counts.groupBy(*by).agg(F.sum("__n").alias("__size"))
+    n_groups, biggest = sizes.agg(F.count("*"), F.max("__size")).first()
     step = max(1, (biggest or 0) // _POSITION_BUCKETS)
 
     grid = sizes.filter(F.col("__size") > 0).select(
@@ -235,7 +220,7 @@ def grouped_quantiles(
     # A value covers the positions [hi - n, hi). It meets a position through the
     # stretch of positions both lie in; all stretches together outnumber the
     # values by at most _POSITION_BUCKETS per group.
-    upto = prefix_sums(counts, by, ["__v"], {"__hi": F.col("__n")}, limit, most_values or 0)
+    upto = _running(counts, by, ["__v"], {"__hi": F.col("__n")}).drop(_SLICE)
     first = F.col("__hi") - F.col("__n")
     spread = upto.withColumns({
         "__first": first,
@@ -261,15 +246,14 @@ def _all_equal(left: str, right: str, names: Sequence[str]) -> Column:
 
 
 def column_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], interpolation: str = "linear",
-    limit: int | None = None,
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], interpolation: str = "linear"
 ) -> dict[str, dict[float, float]]:
     """Exact quantiles of several columns as driver values (columns x probs numbers); NaN counts as missing."""
     long = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
     long = long.unpivot([], list(cols), "__name", "__value") if len(cols) else None
     if long is None:
         return {}
-    rows = grouped_quantiles(long, "__value", probs, ["__name"], interpolation, limit).collect()
+    rows = grouped_quantiles(long, "__value", probs, ["__name"], interpolation).collect()
     out: dict[str, dict[float, float]] = {c: {} for c in cols}
     for row in rows:
         out[row["__name"]][row["p"]] = row["value"]

@@ -141,8 +141,7 @@ def histogram(df: DataFrame, col: str, bins: int | str = 10) -> DataFrame:
 
 
 def bootstrap_ci(
-    df: DataFrame, key: str, col: str, level: float = 0.96, replicates: int = 1000, seed: int = 0,
-    limit: int | None = None,
+    df: DataFrame, key: str, col: str, level: float = 0.96, replicates: int = 1000, seed: int = 0
 ) -> DataFrame:
     """(key, median, low, high): percentile bootstrap interval of a group median.
 
@@ -154,7 +153,7 @@ def bootstrap_ci(
     """
     values = df.select(key, F.col(col).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
     counts = materialise(values.groupBy(key, "__v").agg(F.count("*").alias("__n")))
-    upto = prefix_sums(counts, [key], ["__v"], {"__hi": F.col("__n")}, limit)
+    upto = prefix_sums(counts, [key], ["__v"], {"__hi": F.col("__n")})
     sizes = counts.groupBy(key).agg(F.sum("__n").alias("n"))
 
     @F.pandas_udf("lo long, up long")
@@ -186,7 +185,7 @@ def bootstrap_ci(
     both = upto.select(key, F.col("__hi").alias("pos"), F.col("__v").alias("value")).unionByName(
         want.select(key, (F.col("pos") + F.lit(1)).alias("pos"), F.lit(None).cast("double").alias("value"))
     )
-    located = _next_value(both, key, limit)
+    located = _next_value(both, key)
     medians = (
         picked.join(located, [key, "pos"])
         .groupBy(key, "replicate")
@@ -200,7 +199,7 @@ def bootstrap_ci(
     return group_median(values, key, "__v").join(ci, key)
 
 
-def _next_value(both: DataFrame, key: str, limit: int | None) -> DataFrame:
+def _next_value(both: DataFrame, key: str) -> DataFrame:
     """(key, pos, value) for the null-valued rows of ``both``: value of the next end at or after."""
     # Rank of the next value end = number of ends strictly before the position.
     marked = both.select(
@@ -211,7 +210,6 @@ def _next_value(both: DataFrame, key: str, limit: int | None) -> DataFrame:
         [key],
         ["pos", F.col("__is_end").asc()],
         {"__ends": F.col("__is_end")},
-        limit,
     )
     ends = upto.filter("__is_end = 1").select(key, (F.col("__ends") - 1).alias("__ends"), "value")
     asks = upto.filter("__is_end = 0").select(key, (F.col("pos") - 1).alias("pos"), "__ends")

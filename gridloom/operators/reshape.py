@@ -55,12 +55,17 @@ def to_arrays(coords: DataFrame, key: str, size: int, name: str = "features") ->
 
     Equal coordinates must already be summed, so a key has at most ``size`` rows.
     """
-    cells = F.map_from_entries(F.collect_list(F.struct("col", "value")))
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)),
-        lambda i: F.coalesce(F.element_at("__cells", i), F.lit(0)).cast("double"),
-    )
-    return coords.groupBy(key).agg(cells.alias("__cells")).select(key, dense.alias(name))
+    cell = F.struct(F.col("col").cast("int").alias("col"), F.col("value").cast("double").alias("value"))
+    end = F.struct(F.lit(size).alias("col"), F.lit(0.0).alias("value"))
+    sorted_cells = F.concat(F.array_sort(F.collect_list(cell)), F.array(end))
+
+    def gap_and_cell(c: Column, i: Column) -> Column:
+        """Zeros since the cell before, then the cell; one pass, whatever the width."""
+        before = F.coalesce(F.get("__cells", i - 1)["col"], F.lit(-1))
+        return F.concat(F.array_repeat(F.lit(0.0), c["col"] - before - 1), F.array(c["value"]))
+
+    dense = F.slice(F.flatten(F.transform("__cells", gap_and_cell)), 1, size)
+    return coords.groupBy(key).agg(sorted_cells.alias("__cells")).select(key, dense.alias(name))
 
 
 def combine_blocks(keyed: DataFrame, blocks: Sequence[str], out: str = "features") -> DataFrame:

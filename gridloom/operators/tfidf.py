@@ -8,12 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import preprocess_text
-from gridloom.operators.placement import spread
 from gridloom.sources.scratch import materialise
 
-#: Largest vocabulary that is shipped to every task instead of being joined by shuffle.
-BROADCAST_TERMS = 200_000
-
 
 def ngrams(words: str, low: int = 1, high: int = 2) -> Column:
     """All word n-grams of an array column, in text order per length.
@@ -92,12 +88,9 @@ class TfIdf:
 
     def transform(self, df: DataFrame, key: str, words: str) -> DataFrame:
         """(key, term, weight): tf * idf, scaled to unit length per row."""
-        vocabulary = self.vocabulary
-        if self.max_features is not None and self.max_features <= BROADCAST_TERMS:
-            vocabulary = F.broadcast(vocabulary)
         raw = (
             term_counts(df, key, words, *self.ngram_range)
-            .join(vocabulary, "term")
+            .join(self.vocabulary, "term")  # a written table: its real size and AQE's skew handling pick the join
             .select(key, "term", (F.col("tf") * F.col("idf")).alias("__w"))
         )
         # The only shuffle. One document's terms: at most the vocabulary, all from one row.
@@ -107,5 +100,5 @@ class TfIdf:
 
 def tfidf(train: DataFrame, other: DataFrame, key: str, text: str, **options) -> DataFrame:
     """Fit on the cleaned train text, return the weights of ``other``."""
-    a, b = (spread(df.select(key, text), key).select(key, clean_words(text).alias("__words")) for df in (train, other))
+    a, b = (df.select(key, clean_words(text).alias("__words")) for df in (train, other))
     return TfIdf.fit(a, key, "__words", **options).transform(b, key, "__words")

@@ -21,6 +21,7 @@ from gridloom.operators.clean import prepare_players_for_run
 from gridloom.operators.encode import SetEncoder
 from gridloom.operators.joins import filter_by_ids, split_by_ids
 from gridloom.plans.features import (
+    TABULAR,
     FeatureConfig,
     FeatureSelection,
     FeatureTables,
@@ -53,12 +54,12 @@ def fold_tables(
     rows = time_ordered(dated, "date", key, "__row")
     heroes, with_sets = options.get("heroes"), options.get("use_heroes", False)
     # Whatever does not depend on the fold is worked out once and written.
-    if cfg.text_cols:
+    if cfg.of("text"):
         rows = add_words(rows, cfg, key, options.get("chat"), options.get("chat_order"))
     if with_sets and heroes is not None:
         encoder = SetEncoder.fit(heroes, options.get("split_teams", True))
         rows = add_sets(rows, encoder, filter_by_ids(players, rows, key), key)
-    if cfg.text_cols or with_sets:
+    if cfg.of("text") or with_sets:
         rows = materialise(rows)
 
     def table(bounds: tuple[int, int]) -> FeatureTables:
@@ -157,9 +158,9 @@ class Run:
         chat_order: str | None = None,
     ) -> dict:
         cfg = build_feature_config(self.selection)
-        use_tabular = bool(cfg.feature_cols)
+        use_tabular = bool(cfg.of(*TABULAR))
         use_heroes = self.selection.use_heroes
-        if not use_tabular and not use_heroes and not cfg.text_cols:
+        if not use_tabular and not use_heroes and not cfg.of("text"):
             raise ValueError("at least one feature block must be on")
         players_train = players_test = None
         if use_heroes:
@@ -192,7 +193,7 @@ class Run:
         record = run_record(
             mean, [g if g is not None else float("nan") for g in ginis],
             groups=self.selection.enabled, use_heroes=use_heroes,
-            split_teams=self.selection.split_teams, config=cfg, model_params=self.model_params,
+            split_teams=self.selection.split_teams, config=cfg.record(), model_params=self.model_params,
         )
         save_run_record(train.sparkSession, record, self.results_path)
         return {

@@ -16,7 +16,7 @@ from gridloom.models.target import fit_log_target, fit_transformed_target
 from gridloom.operators import encode, tfidf
 from gridloom.operators.frame import fill_const
 from gridloom.operators.reshape import combine_blocks
-from gridloom.plans.features import FeatureConfig, FeatureSelection, build_feature_tables
+from gridloom.plans.features import FeatureConfig, FeatureSelection, TextOptions, build_feature_tables
 from gridloom.plans.runs import Run, fit_and_predict, fold_tables, score_folds
 from gridloom.queries.catalog import query
 from gridloom.queries.inputs import GROUP_SIZE, HOUSE_ORDER, HOUSE_X, Tables, r
@@ -172,7 +172,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     train, other = _parts(t)
     cfg = FeatureConfig(
-        target_cols=("region",), ohe_cols=("month",), numeric_cols=("avg_mmr", "mmr_missing"), mmr_transform="raw"
+        {"target": ("region",), "ohe": ("month",), "numeric": ("avg_mmr", "mmr_missing")}, mmr_transform="raw"
     )
     tables = build_feature_tables(train, other, cfg)
     v = tables.other.select("match_id", vector_to_array("features").alias("v"))
@@ -202,7 +202,7 @@ def _(t: Tables) -> DataFrame:
     SELECT doc_id, term, round(x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw""",
 )
 def _(t: Tables) -> DataFrame:
-    docs = t.documents.select("doc_id", "text")
+    docs = t.documents.select("doc_id", "text").repartition("doc_id")  # one supplied file, many task slots
     weights = tfidf.tfidf(
         docs.filter(F.col("doc_id") % 4 != 0), docs, "doc_id", "text", max_features=1500, min_df=5, max_df=0.5
     )
@@ -268,7 +268,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     late = F.col("match_id") % 4 == 0
     tables = build_feature_tables(
-        t.matches.filter(~late), t.matches.filter(late), FeatureConfig(ohe_cols=("region",)),
+        t.matches.filter(~late), t.matches.filter(late), FeatureConfig({"ohe": ("region",)}),
         train_players=t.players.filter(~late), other_players=t.players.filter(late),
         heroes=t.heroes, use_heroes=True,
     )
@@ -284,8 +284,8 @@ def _(t: Tables) -> DataFrame:
     """SELECT CAST(doc_id AS BIGINT) AS match_id, true AS is_unit FROM documents""",
 )
 def _(t: Tables) -> DataFrame:
-    docs = t.documents.select(F.col("doc_id").alias("match_id"), F.col("text").alias("radiant_chat"))
-    cfg = FeatureConfig(text_cols=("radiant_chat",), text_max_features=500, text_min_df=5)
+    docs = t.documents.select(F.col("doc_id").alias("match_id"), F.col("text").alias("radiant_chat")).repartition("match_id")
+    cfg = FeatureConfig({"text": ("radiant_chat",)}, text=TextOptions(max_features=500, min_df=5))
     tables = build_feature_tables(docs, docs, cfg, use_tabular=False)
     v = vector_to_array("features")
     length = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
@@ -659,7 +659,8 @@ def _(t: Tables) -> DataFrame:
     return t.spark.createDataFrame([row], "best_is_least boolean, n_fits long, some_zero boolean")
 
 
-_BASE = FeatureConfig(ohe_cols=("region", "game_mode", "month", "is_weekend")).with_mmr("sqrt")
+_RATING = {"numeric": ("avg_mmr", "mmr_missing")}
+_BASE = FeatureConfig({"ohe": ("region", "game_mode", "month", "is_weekend"), **_RATING}, mmr_transform="sqrt")
 
 SEARCH_SPACE = {
     "penalty": search.Choice(("l1", "l2", "elasticnet", None)),
@@ -677,7 +678,7 @@ SEARCH_SPACE = {
        FROM (SELECT count(*) FROM matches)""",
 )
 def _(t: Tables) -> DataFrame:
-    folds = fold_tables(t.matches, FeatureConfig(target_cols=("region",)).with_mmr("sqrt"), n_splits=2)
+    folds = fold_tables(t.matches, FeatureConfig({"target": ("region",), **_RATING}, mmr_transform="sqrt"), n_splits=2)
     board = search.random_search(
         t.spark, lambda params: score_folds(folds, params), SEARCH_SPACE, 3, 5, {"groups": ["region_te", "avg_mmr"]}
     )

@@ -12,9 +12,8 @@ from gridloom.functions import numeric, text
 from gridloom.functions.dates import extract_date_features
 from gridloom.operators import clean, frame, reshape
 from gridloom.operators.encode import SetEncoder
-from gridloom.operators.placement import spread
 from gridloom.plans import allocation
-from gridloom.plans.features import FeatureSelection, advantage_features, build_feature_config
+from gridloom.plans.features import TABULAR, FeatureSelection, advantage_features, build_feature_config
 from gridloom.queries.catalog import query
 from gridloom.queries.inputs import (
     CAPACITY, DEFAULT_CAPACITY, GROUP_SIZE, LATER_PREFS, PREFS, Tables, r,
@@ -213,7 +212,7 @@ _LEMMAS = """SELECT DISTINCT token, left(token, length(token) - 3) AS lemma
     UNION ALL SELECT doc_id, '' FROM dt WHERE len(tk) = 0""",
 )
 def _(t: Tables) -> DataFrame:
-    docs = spread(t.documents, "doc_id").select("doc_id", text.raw_tokens("text").alias("tk"))
+    docs = t.documents.repartition("doc_id").select("doc_id", text.raw_tokens("text").alias("tk"))
     out = text.lemmatise(docs, "doc_id", "tk", _suffix_dictionary(docs))
     return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmas"))
 
@@ -462,7 +461,7 @@ def _(t: Tables) -> DataFrame:
     late = F.col("match_id") % 4 == 0
     a, b = clean.preprocess_fold(m.filter(~late), m.filter(late), cfg.mmr_transform)
     out = a.unionByName(b).drop("region").join(t.matches.select("match_id", "region"), "match_id")
-    return out.select("match_id", *cfg.feature_cols).withColumns({
+    return out.select("match_id", *cfg.of(*TABULAR)).withColumns({
         "avg_mmr": r("avg_mmr"), "mmr_missing": F.col("mmr_missing").cast("int")
     })
 

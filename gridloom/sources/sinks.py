@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass, is_dataclass
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,7 +59,7 @@ def run_record(
     groups: Sequence[str] = (),
     use_heroes: bool = False,
     split_teams: bool = True,
-    config=None,
+    config: Mapping | None = None,
     model_params: Mapping | None = None,
 ) -> dict:
     """What a run was and how it scored, scores to six digits."""
@@ -67,7 +67,7 @@ def run_record(
         "selected_feature_groups": list(groups),
         "use_heroes": use_heroes,
         "split_teams": split_teams,
-        "feature_config": asdict(config) if is_dataclass(config) else dict(config or {}),
+        "feature_config": dict(config or {}),
         "model_params": dict(model_params or {}),
         "cv_mean_gini": round(float(mean), 6),
         "cv_fold_ginis": [round(float(f), 6) for f in folds],
@@ -92,12 +92,12 @@ class ResultStore:
         spark: SparkSession,
         stage: str,
         name: str,
-        config,
+        config: Mapping,
         mean: float,
         folds: Sequence[float],
         model: str = "LogisticRegression",
     ) -> None:
-        cfg = asdict(config)
+        cfg = dict(config)
         if not cfg.get("text_cols"):
             cfg.update({k: None for k in cfg if k.startswith("text_") and k != "text_cols"})
         record = {

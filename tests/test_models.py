@@ -96,6 +96,35 @@ def test_stochastic_methods_with_whole_batch_equal_descent(data):
     assert np.allclose(linear.fit_sag(few, X, "y", ["id"], batch_size=40, **options).weights, want)
 
 
+def test_stochastic_methods_equal_numpy_and_leave_out_gaps(spark, monkeypatch):
+    monkeypatch.setattr(linear, "DRAWN_ROWS", 16)  # several fetches
+    monkeypatch.setattr(linear, "LOSSES_AT_ONCE", 2)
+    rng = np.random.default_rng(0)
+    x, y = rng.normal(size=(30, 2)), rng.normal(size=30)
+    rows = [(i, float(a), float(b), float(t)) for i, (a, b), t in zip(range(30), x, y)]
+    gaps = [(30, None, 1.0, 1.0), (31, 1.0, float("nan"), 1.0), (32, 1.0, 1.0, None)]
+    df = spark.createDataFrame(rows + gaps, "id int, a double, b double, y double")
+    loss, options = linear.L2(linear.Mse(), 0.1), {"lr": linear.ConstantLR(0.05), "batch_size": 5, "max_iter": 9, "tolerance": 0.0, "seed": 4}
+
+    def slopes(w, at):
+        return 2 * (x[at] @ w - y[at])[:, None] * x[at] + loss.penalty_slope(w)
+
+    sgd, sag, memory = [np.zeros(2)], [np.zeros(2)], np.zeros((30, 2))
+    for it in range(9):
+        at = np.random.default_rng((4, it)).choice(30, 5, replace=False)
+        sgd.append(sgd[-1] - 0.05 * slopes(sgd[-1], at).mean(axis=0))
+        memory[at] = slopes(sag[-1], at)
+        sag.append(sag[-1] - 0.05 * memory.sum(axis=0) / 30)
+    for fit, path in ((linear.fit_sgd, sgd), (linear.fit_sag, sag)):
+        model = fit(df, ["a", "b"], "y", ["id"], loss, **options)
+        assert np.allclose(model.weights, path[-1])
+        assert np.allclose(model.loss_history, [np.mean((x @ w - y) ** 2) + loss.penalty(w) for w in path])
+    with pytest.raises(ValueError):
+        linear.fit_sgd(df, ["a", "b"], "y", ["id"], batch_size=17)
+    with pytest.raises(ValueError):
+        linear.fit_sag(df.filter("id > 29"), ["a", "b"], "y", ["id"], batch_size=4)
+
+
 def test_step_sizes():
     assert linear.ConstantLR(0.3)(9) == 0.3
     assert linear.TimeDecayLR(2.0)(3) == pytest.approx(1.0)

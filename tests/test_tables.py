@@ -214,10 +214,19 @@ def test_set_encoder(spark):
     assert split == {1: [1, 0, 0, 1, 0, 1], 2: [0, 0, 1, 0, 0, 0], 3: [0] * 6}
 
 
+def test_too_many_names_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(encode, "MOST_NAMES", 2)
+    items = spark.createDataFrame([(5,), (7,), (9,)], "id int")
+    with pytest.raises(ValueError, match="more than 2"):
+        encode.SetEncoder.fit(items)
+    with pytest.raises(ValueError, match="more than 2"):
+        encode.one_hot_named(items, items, "id")
+
+
 def test_set_encoder_guards(spark):
     players = spark.createDataFrame(PLAYERS, "match_id int, hero_id int, player_slot int")
-    with pytest.raises(Exception, match="lacks item 9"):
-        encode.SetEncoder.fit(spark.createDataFrame([(5,)], "id int")).transform(players).collect()
+    with pytest.raises(ValueError, match="lacks item"):  # before anything runs
+        encode.SetEncoder.fit(spark.createDataFrame([(5,)], "id int")).transform(players)
     with pytest.raises(ValueError):
         encode.SetEncoder.fit(spark.createDataFrame([(5,)], "name int"))
 
@@ -259,7 +268,9 @@ def test_feature_guards(spark):
     with pytest.raises(ValueError):
         reshape.combine_blocks(df, [])
     cfg = features.build_feature_config(features.FeatureSelection(enabled=("avg_mmr", "region_ohe", "avg_mmr")))
-    assert cfg.feature_cols == ["region", "avg_mmr", "mmr_missing"]
+    assert cfg.of(*features.TABULAR) == ["region", "avg_mmr", "mmr_missing"]
+    with pytest.raises(ValueError):
+        features.FeatureConfig({"other": ("a",)})
 
 
 # --- sinks ------------------------------------------------------------------------
@@ -275,8 +286,8 @@ def test_prediction_guards_and_row_ids(spark, tmp_path):
 
 def test_result_store_appends(spark, tmp_path):
     store = sinks.ResultStore(str(tmp_path / "results"))
-    store.log(spark, "base", "dates", features.base_configs()["dates"], 0.12345678, [0.1, 0.2])
-    store.log(spark, "base", "regions", features.base_configs()["regions"], 0.2, [0.2])
+    store.log(spark, "base", "dates", features.base_configs()["dates"].record(), 0.12345678, [0.1, 0.2])
+    store.log(spark, "base", "regions", features.base_configs()["regions"].record(), 0.2, [0.2])
     assert rows(store.read(spark).select("features", "gini")) == [("dates", 0.123457), ("regions", 0.2)]
 
 
