@@ -1,5 +1,6 @@
 import collections
 import math
+import random
 import re
 
 import numpy as np
@@ -86,6 +87,27 @@ def test_odd_text_is_rejected_and_others_stay(spark):
     assert 999 not in kept and len(kept) >= 198
 
 
+def test_order_of_words_counts(spark):
+    """The same words in another order are another text to the model."""
+    r = random.Random(5)
+    follows = {w: r.sample(range(400), 12) for w in range(400)}
+
+    def text(seed):
+        r, w, out = random.Random(seed), 0, []
+        for _ in range(120):
+            w = r.choice(follows[w])
+            out.append(f"word{w}")
+        return out
+
+    rows = [(i, " ".join(text(i)), "en") for i in range(300)]
+    salad = text(0)
+    random.Random(1).shuffle(salad)
+    rows.append((999, " ".join(salad), "en"))
+    judged, name = quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string"), ["doc_id"])
+    kept = {x.doc_id for x in judged.filter(judged[name]["kept"]).collect()}
+    assert 999 not in kept and len(kept) >= 298
+
+
 def gram_set(text):
     w = WORD.findall(text)
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
