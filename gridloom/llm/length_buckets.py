@@ -6,8 +6,8 @@ bucket holds as many rows as fit the token budget at the bucket's bound. Rows
 are numbered inside a bucket without gathering it: hash slices of bounded size
 are numbered on their own and start where the earlier slices end.
 
-The driver holds the histogram only: at most ``BINS`` entries, since lengths are
-counted in steps of more than one where the longest text needs it.
+The driver holds the histogram only, one entry for each distinct length: n of them
+need at least n * (n - 1) / 2 words in the table, so they grow with its square root at most.
 
 Defined cases: a null or empty text has length 0; a row longer than the budget
 is a batch of its own; fewer distinct lengths than buckets give one bucket for
@@ -25,7 +25,6 @@ from gridloom.sources.scratch import materialise
 
 BUCKETS = 16
 BUDGET = 65_536
-BINS = 16_384
 ROWS_PER_SLICE = 2_048
 SEED = 17
 
@@ -38,8 +37,7 @@ def word_length(text: Column) -> Column:
 def best_bounds(lengths: np.ndarray, counts: np.ndarray, totals: np.ndarray, buckets: int) -> list[int]:
     """Upper bounds, ascending, that minimise sum(bound - length).
 
-    ``lengths`` are the bins' upper ends, ascending; ``totals`` the sums of the
-    exact lengths in them. The best split point moves right with the end (the
+    ``lengths`` are distinct and ascending; ``totals`` the sums of the rows' lengths. The best split point moves right with the end (the
     cost meets the quadrangle inequality), so each layer halves its ranges.
     """
     n = len(lengths)
@@ -72,11 +70,9 @@ def best_bounds(lengths: np.ndarray, counts: np.ndarray, totals: np.ndarray, buc
 
 
 def plan_buckets(rows: DataFrame, buckets: int = BUCKETS) -> list[int]:
-    longest = rows.agg(F.max("n_tokens")).first()[0] or 0
-    step = max(1, -(-longest // BINS))
-    top = F.ceil(F.col("n_tokens") / step).cast("long") * step
-    counted = rows.groupBy(top.alias("length")).agg(F.count("*").alias("n"), F.sum("n_tokens").alias("total")).orderBy("length").collect()
-    return best_bounds(*[np.array([r[c] for r in counted], np.int64) for c in ("length", "n", "total")], buckets)
+    counted = rows.groupBy("n_tokens").agg(F.count("*").alias("n")).orderBy("n_tokens").toPandas()
+    lengths, counts = (counted[c].to_numpy(np.int64) for c in ("n_tokens", "n"))
+    return best_bounds(lengths, counts, lengths * counts, buckets)
 
 
 def pack(rows: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, seed: int = SEED) -> DataFrame:

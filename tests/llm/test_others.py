@@ -200,6 +200,15 @@ def test_bounds_are_optimal():
             assert len(got) <= k and got[-1] == lengths[-1] and cost(got) == min(map(cost, choices))
 
 
+def test_one_long_text_leaves_the_other_bounds(spark):
+    rows = [(n,) for n in range(1, 40) for _ in range(n % 5 + 1)]
+    assert length_buckets.plan_buckets(spark.createDataFrame(rows, "n_tokens long"), 39) == list(range(1, 40))
+    longer = spark.createDataFrame([*rows, (2_000_000,)], "n_tokens long")
+    assert length_buckets.plan_buckets(longer, 40) == [*range(1, 40), 2_000_000]
+    four = length_buckets.plan_buckets(spark.createDataFrame(rows, "n_tokens long"), 4)
+    assert length_buckets.plan_buckets(longer, 5) == [*four, 2_000_000]
+
+
 def test_packing(edges, nothing, sample):
     for table in (edges, sample):
         rows = length_buckets.pack_documents(table, budget=2000, buckets=4).collect()
