@@ -3,8 +3,9 @@
 Base patterns (fixed by the contract of this operator) give spans of three kinds:
 ``assign``, ``access`` and ``hex``. Besides them each text is lexed for
 assignments of source and configuration syntax - ``name = value``,
-``name: value``, ``name := value``, ``"name" => value`` and ``<name>value</name>`` -
-into pairs of a name and a quoted or bare literal. A name assigned another name
+``name: value``, ``name: type = value``, ``name := value``, ``"name" => value`` and
+``<name>value</name>`` - into pairs of a name and a quoted or bare literal of any length.
+A quoted literal ends at its own unescaped quote, a bare one at a blank or delimiter. A name assigned another name
 takes that name's literal (constants are propagated in order of appearance, the
 latest assignment counts, chains of any length, no cycles). A literal scores by
 the sensitive words in the names it reaches, weighted with its own shape:
@@ -47,14 +48,27 @@ SENSITIVE = {
 MIN_SCORE = 0.5
 MIN_LITERAL = 6
 
-_NAME = r"[A-Za-z_][A-Za-z0-9_.\-]{0,127}"
+_NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*+"
+#: What follows a colon and stands before ``=``: a type, which may hold commas after its first bracket.
+_TYPE = r"""(?:[^=:"'`\r\n;(){},\[<&]|&'?)++(?:[\[<](?:[^=:"'`\r\n;(){}&]|&'?)*+)?"""
+#: Literals by opening quote, with escapes and of any length; triple quotes and backticks reach across lines.
+_QUOTES = (
+    r'"{3}(?P<a>(?:[^\\]|\\.)+?)"{3}', r"'{3}(?P<b>(?:[^\\]|\\.)+?)'{3}",
+    r'"(?P<c>(?:[^"\\\r\n]|\\.)++)"', r"'(?P<d>(?:[^'\\\r\n]|\\.)++)'", r"`(?P<e>(?:[^`\\]|\\.)++)`",
+)
+_QUOTED = "abcde"
+_BARE_END = r"""\s"'`,;()\[\]{}<>"""
+# A run of name characters is read once, from its start: what precedes the first letter is cut off later.
 _PAIR = re.compile(
-    rf"""(?<![A-Za-z0-9_])(?:(?P<q>["'])(?P<quoted>{_NAME})(?P=q)|(?P<plain>{_NAME}))[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*"""
-    r"""(?:(?P<v>["'`])(?P<literal>[^"'`\r\n]{1,4096}?)(?P=v)|(?P<bare>[A-Za-z0-9_$][A-Za-z0-9+/_.$=~!@%^&*\-]*+)(?![ \t]*(?::=|=>|=)))"""
+    rf"""(?:(?<![A-Za-z0-9_])(?P<q>["'])(?P<quoted>{_NAME})(?P=q)|(?<![A-Za-z0-9_.\-])(?P<plain>[A-Za-z0-9_.\-]++))[ \t]*+"""
+    rf"""(?:\??:(?P<type>{_TYPE})=(?![=>])|(?::=|=>|=(?!=)|:(?![:/])))[ \t]*+"""
+    rf"""(?:[A-Za-z]{{0,2}}(?:{"|".join(_QUOTES)})"""
+    rf"""|(?P<bare>\$\{{[^{{}}\s]++\}}|[^{_BARE_END}:=](?:[^{_BARE_END}:]|:(?![{_BARE_END}:=]|\Z))*+)(?![ \t]*+(?::=|=>|=)))""",
+    re.S,
 )
-_TAG = re.compile(rf"<(?P<name>{_NAME})>(?P<literal>[^<>\r\n]{{1,4096}})</(?P=name)>")
+_TAG = re.compile(rf"<(?P<name>{_NAME})>(?P<literal>[^<>]++)</(?P=name)>")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-_IDENTIFIER = re.compile(rf"\$?{_NAME}\Z")
+_IDENTIFIER = re.compile(rf"\$?{_NAME}\Z|\$\{{{_NAME}\}}\Z")
 
 Span = tuple[int, int, str]
 
@@ -91,16 +105,26 @@ def name_literal_pairs(text: str) -> list[tuple[str, str, int, int]]:
     tokens: list[tuple[int, str, str, int, int, bool]] = []
     if ":" in text or "=" in text:
         for m in _PAIR.finditer(text):
-            name = m["quoted"] or m["plain"]
-            part = "literal" if m["literal"] is not None else "bare"
-            tokens.append((m.start(), name, m[part], m.start(part), m.end(part), part == "bare"))
+            part = m.lastgroup if m.lastgroup in _QUOTED else "bare"
+            at, value, start, end, bare = m.start(), m[part], m.start(part), m.end(part), part == "bare"
+            name = m["quoted"] or m["plain"].lstrip("0123456789.-")
+            tokens.append((at, name, value, start, end, bare))
+            typed = (m["type"] or "").split()
+            if typed and _IDENTIFIER.match(typed[-1]):  # or another name of the same literal
+                tokens.append((at, typed[-1], value, start, end, bare))
+            if len(typed) > 1 and _IDENTIFIER.match(typed[1]):  # or a value of its own
+                first = m.start("type") + m["type"].index(typed[0])
+                tokens.append((at, name, typed[0], first, first + len(typed[0]), True))
+            cut = max(value.rfind("="), value.rfind(":")) if bare else 0
+            if cut > 0 and cut + 1 < len(value) and _IDENTIFIER.match(inner := re.split("[=:]", value[:cut])[-1]):
+                tokens.append((start, inner, value[cut + 1 :], start + cut + 1, end, True))
     if "</" in text:
         tokens += [(m.start(), m["name"], m["literal"], m.start("literal"), m.end("literal"), False) for m in _TAG.finditer(text)]
     tokens.sort()
     known: dict[str, tuple[str, int, int]] = {}
     pairs = []
     for _, name, value, start, end, bare in tokens:
-        source = known.get(value.lstrip("$")) if bare and _IDENTIFIER.match(value) else None
+        source = known.get(value.lstrip("$").strip("{}")) if bare and _IDENTIFIER.match(value) else None
         known[name] = source or (value, start, end)
         pairs.append((name, *known[name]))
     return pairs

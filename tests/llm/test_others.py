@@ -29,6 +29,26 @@ def test_constants_are_propagated():
     assert ("client_secret", "Zx81-qqP0", 5, 14) in pairs
 
 
+SECRET = "zX81-qqP0w"
+
+
+@pytest.mark.parametrize(
+    "text, secret",
+    [
+        ('"password": "p@ss\'w0rd-9x"', "p@ss'w0rd-9x"), ('password = "a\\"b9Xc-de"', 'a\\"b9Xc-de'),
+        (f'api_key: str = "{SECRET}"', SECRET), (f'password: string = "{SECRET}";', SECRET),
+        (f'token: Optional[Dict[str, str]] = "{SECRET}"', SECRET), (f"password?: string | undefined = `{SECRET}`", SECRET),
+        (f'{"a" * 200}_password = "{SECRET}"', SECRET), ('secret = "' + "aB3$" * 2000 + '"', "aB3$" * 2000),
+        ('secret = """zX81\nqq"P0w"""', 'zX81\nqq"P0w'), ("secret = `zX81\nqqP0w`", "zX81\nqqP0w"),
+        (f'k = "{SECRET}"\nclient_secret: ${{k}}', SECRET), ("password=p@s#s|w0rd9 next", "p@s#s|w0rd9"),
+    ],
+)
+def test_assignments_are_read_whole(text, secret):
+    spans = sorted({*secret_scan.base_spans(text), *secret_scan.literal_spans(text)}, key=secret_scan._order)
+    assert secret in [text[a:b] for a, b, _ in spans]
+    assert secret not in secret_scan.redact(text, spans)
+
+
 def test_redaction_and_edges(edges, nothing):
     rows = secret_scan.scan_secrets(edges).collect()
     assert len(rows) == edges.count()
