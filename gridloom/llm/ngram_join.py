@@ -262,8 +262,18 @@ def ngram_jaccard_join(
 
 
 def keep_one_per_class(documents: DataFrame, **settings) -> DataFrame:
-    """The documents whose id is the smallest of its class, once each; rows with a null id stay."""
-    found = ngram_jaccard_join(documents, **settings)
-    stay = materialise(found.filter("doc_id = class_id").select("doc_id"))
-    kept = documents.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(documents.filter(F.col("doc_id").isNull())).select(documents.columns)
+    """One row of each class of linked texts: that of the smallest id, null ids last, and of an id's texts that of the smallest digest.
+
+    Texts are linked by what they hold, whatever their ids: an id with several unlike
+    texts keeps them all, and rows without an id take part.
+    """
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    name = "__text_key"
+    keyed = documents.withColumn(name, key)
+    found = ngram_jaccard_join(keyed.select(F.col(name).alias("doc_id"), "text"), **settings)
+    classes = materialise(found.select(F.col("doc_id").alias(name), "class_id"))
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", name)
+    first = keyed.select("doc_id", name).join(classes, name).groupBy("class_id").agg(F.min(order).alias("first"))
+    stay = materialise(first.select(F.col("first.doc_id").alias("__id"), F.col(f"first.{name}").alias("__key")))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col(name) == F.col("__key"))
+    return keyed.join(stay, same, "left_semi").dropDuplicates(["doc_id", name]).select(documents.columns)
