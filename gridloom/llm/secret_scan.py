@@ -3,11 +3,14 @@
 Base patterns (fixed by the contract of this operator) give spans of three kinds:
 ``assign``, ``access`` and ``hex``. Besides them each text is lexed for
 assignments of source and configuration syntax - ``name = value``,
-``name: value``, ``name: type = value``, ``name := value``, ``"name" => value`` and
+``name: value``, ``name: type = value``, ``name := value``, ``"name" => value``, ``table["name"] = value``,
+``a, b = value, value``, ``name: |`` with an indented block, ``name = call(value)`` and
 ``<name>value</name>`` - into pairs of a name and a quoted or bare literal of any length.
-A quoted literal ends at its own unescaped quote, a bare one at a blank or delimiter. A name assigned another name
-takes that name's literal (constants are propagated in order of appearance, the
-latest assignment counts, chains of any length, no cycles). A literal scores by
+A quoted literal ends at its own unescaped quote, a bare one at a blank or delimiter; parentheses around literals are
+passed over, and literals joined by ``+`` (or next to each other in parentheses) are one. Of a call, quoted arguments after the first count,
+and a lone one that could not be a name. A name assigned another name
+takes that name's literal: the latest assignment before it or, where there is none, the first after it
+(chains of any length, no cycles). A literal scores by
 the sensitive words in the names it reaches, weighted with its own shape:
 
     score = name weight * min(1, length / 8) * (share of distinct characters + number of character kinds / 4) / 2
@@ -60,12 +63,28 @@ _QUOTED = "abcde"
 _BARE_END = r"""\s"'`,;()\[\]{}<>"""
 # A run of name characters is read once, from its start: what precedes the first letter is cut off later.
 _PAIR = re.compile(
-    rf"""(?:(?<![A-Za-z0-9_])(?P<q>["'])(?P<quoted>{_NAME})(?P=q)|(?<![A-Za-z0-9_.\-])(?P<plain>[A-Za-z0-9_.\-]++))[ \t]*+"""
-    rf"""(?:\??:(?P<type>{_TYPE})=(?![=>])|(?::=|=>|=(?!=)|:(?![:/])))[ \t]*+"""
+    rf"""(?:(?<![A-Za-z0-9_])(?P<q>["'])(?P<quoted>{_NAME})(?P=q)(?:[ \t]*+\])?+|(?<![A-Za-z0-9_.\-])(?P<plain>[A-Za-z0-9_.\-]++))[ \t]*+"""
+    rf"""(?:\??:(?P<type>{_TYPE})=(?![=>])|(?::=|=>|=(?!=)|:(?![:/])))[ \t]*+(?P<open>\((?:\s|\()*+)?+"""
     rf"""(?:[A-Za-z]{{0,2}}(?:{"|".join(_QUOTES)})"""
     rf"""|(?P<bare>\$\{{[^{{}}\s]++\}}|[^{_BARE_END}:=](?:[^{_BARE_END}:]|:(?![{_BARE_END}:=]|\Z))*+)(?![ \t]*+(?::=|=>|=)))""",
     re.S,
 )
+_LITERAL = rf"""[A-Za-z]{{0,2}}(?:{"|".join(_QUOTES)})"""
+_JOINED = re.compile(rf"""\s*+\+\s*+{_LITERAL}""", re.S)
+_BESIDE = re.compile(rf"""\s*+(?:\+\s*+)?{_LITERAL}""", re.S)
+_QUOTE = re.compile(_LITERAL, re.S)
+_UNNAMED = "|".join(re.sub(r"\?P<[a-e]>", "?:", q) for q in _QUOTES)
+_ARGUMENTS = re.compile(rf"""\((?P<first>[ \t]*+(?:[A-Za-z]{{0,2}}(?:{_UNNAMED})|[^()"'`,\r\n]++)*+)(?P<rest>(?:{_UNNAMED}|[^()"'`\r\n])*+)""", re.S)
+_ITEM = rf"""(?:[A-Za-z]{{0,2}}(?:{_UNNAMED})|[^{_BARE_END}=:]++)"""
+_TUPLE = re.compile(
+    rf"""(?<![A-Za-z0-9_.\-,])(?<!,[ \t])(?P<names>{_NAME}(?:[ \t]?,[ \t]?{_NAME})++)[ \t]*+=(?![=>])[ \t]*+\(?[ \t]*+"""
+    rf"""(?P<values>{_ITEM}(?:[ \t]*+,[ \t]*+{_ITEM})++)""",
+    re.S,
+)
+_VALUE = re.compile(rf"""{_LITERAL}|(?P<bare>[^{_BARE_END}=:]++)""", re.S)
+_BLOCK = re.compile(
+    rf"""^[ \t\-]*+["']?(?P<name>{_NAME})["']?[ \t]*+:[ \t]*+[|>][+\-]?[0-9]?[ \t]*+\r?\n(?P<pad>[ \t]++)(?P<body>\S[^\n]*+(?:\n(?P=pad)[^\n]*+)*+)""", re.M
+)
 _TAG = re.compile(rf"<(?P<name>{_NAME})>(?P<literal>[^<>]++)</(?P=name)>")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _IDENTIFIER = re.compile(rf"\$?{_NAME}\Z|\$\{{{_NAME}\}}\Z")
@@ -100,15 +119,22 @@ def literal_score(literal: str, weight: float) -> float:
     return weight * min(1.0, len(literal) / 8) * (min(1.0, len(set(literal)) / min(len(literal), 10)) + kinds / 4) / 2
 
 
-def name_literal_pairs(text: str) -> list[tuple[str, str, int, int]]:
-    """(name, literal, start, end of the literal) in order; names take part under each name that they reach."""
-    tokens: list[tuple[int, str, str, int, int, bool]] = []
+Token = tuple[int, str, str, int, int, bool]
+
+
+def _assignments(text: str) -> list[Token]:
+    """(place, name, value, start and end of the value, whether it is bare) of all forms, in order."""
+    tokens: list[Token] = []
     if ":" in text or "=" in text:
         for m in _PAIR.finditer(text):
             part = m.lastgroup if m.lastgroup in _QUOTED else "bare"
             at, value, start, end, bare = m.start(), m[part], m.start(part), m.end(part), part == "bare"
             name = m["quoted"] or m["plain"].lstrip("0123456789.-")
+            if not bare:
+                value, end = _whole(text, m.end(), value, end, _BESIDE if m["open"] else _JOINED)
             tokens.append((at, name, value, start, end, bare))
+            if bare and text.startswith("(", end):
+                tokens += [(at, name, *a, False) for a in _arguments(text, end)]
             typed = (m["type"] or "").split()
             if typed and _IDENTIFIER.match(typed[-1]):  # or another name of the same literal
                 tokens.append((at, typed[-1], value, start, end, bare))
@@ -118,23 +144,86 @@ def name_literal_pairs(text: str) -> list[tuple[str, str, int, int]]:
             cut = max(value.rfind("="), value.rfind(":")) if bare else 0
             if cut > 0 and cut + 1 < len(value) and _IDENTIFIER.match(inner := re.split("[=:]", value[:cut])[-1]):
                 tokens.append((start, inner, value[cut + 1 :], start + cut + 1, end, True))
+    if "," in text and "=" in text:
+        for m in _TUPLE.finditer(text):
+            values = _VALUE.finditer(text, m.start("values"), m.end("values"))
+            for name, v in zip(re.split(r"[ \t]?,[ \t]?", m["names"]), values):
+                tokens.append((m.start(), name, v[v.lastgroup], v.start(v.lastgroup), v.end(v.lastgroup), v.lastgroup == "bare"))
+    tokens += [(m.start("name"), m["name"], m["body"], m.start("body"), m.end("body"), False) for m in _blocks(text)]
     if "</" in text:
         tokens += [(m.start(), m["name"], m["literal"], m.start("literal"), m.end("literal"), False) for m in _TAG.finditer(text)]
-    tokens.sort()
+    return sorted(tokens)
+
+
+def _blocks(text: str) -> Iterator[re.Match]:
+    return _BLOCK.finditer(text) if "|" in text or ">" in text else iter(())
+
+
+def _whole(text: str, at: int, value: str, end: int, more: re.Pattern) -> tuple[str, int]:
+    """A literal with those that are joined to it after ``at``, and the end of the last."""
+    parts = [value]
+    while m := more.match(text, at):
+        parts.append(m[m.lastgroup])
+        at, end = m.end(), m.end(m.lastgroup)
+    return "".join(parts), end
+
+
+def _arguments(text: str, at: int) -> list[tuple[str, int, int]]:
+    """(literal, start, end) of a call's quoted arguments that may be values."""
+    m = _ARGUMENTS.match(text, at)
+    if not m:
+        return []
+    found = [(q[q.lastgroup], q.start(q.lastgroup), q.end(q.lastgroup)) for q in _QUOTE.finditer(text, m.start("rest"), m.end("rest"))]
+    lone = _QUOTE.match(text, m.start("first") + len(m["first"]) - len(m["first"].lstrip()), m.end("first"))
+    if not found and lone and not _IDENTIFIER.match(lone[lone.lastgroup]):
+        found.append((lone[lone.lastgroup], lone.start(lone.lastgroup), lone.end(lone.lastgroup)))
+    return found
+
+
+def name_literal_pairs(text: str) -> list[tuple[str, str, int, int]]:
+    """(name, literal, start, end of the literal) in order; names take part under each name that they reach."""
     known: dict[str, tuple[str, int, int]] = {}
+    first: dict[str, tuple[str, int, int]] = {}
+    open_: dict[tuple[int, int], str] = {}  # places of names that have no value before them
     pairs = []
-    for _, name, value, start, end, bare in tokens:
-        source = known.get(value.lstrip("$").strip("{}")) if bare and _IDENTIFIER.match(value) else None
+    for _, name, value, start, end, bare in _assignments(text):
+        source = None
+        if bare and _IDENTIFIER.match(value):
+            wanted = value.lstrip("$").strip("{}")
+            source = known.get(wanted)
+            if source is None:
+                open_[start, end] = wanted
         known[name] = source or (value, start, end)
+        first.setdefault(name, known[name])
         pairs.append((name, *known[name]))
-    return pairs
+
+    ends: dict[tuple[int, int], tuple[str, int, int]] = {}  # what a place's name reaches, for each place once
+
+    def later(*found: tuple[str, int, int]) -> tuple[str, int, int]:
+        way: list[tuple[int, int]] = []
+        met: set[tuple[int, int]] = set()
+        while (place := found[1:]) not in met:
+            if place in ends:
+                found = ends[place]
+                break
+            met.add(place)
+            way.append(place)
+            wanted = open_.get(place)
+            if wanted not in first:
+                break
+            found = first[wanted]
+        ends.update(dict.fromkeys(way, found))
+        return found
+
+    return [(name, *later(*found)) for name, *found in pairs]
 
 
 def literal_spans(text: str, min_score: float = MIN_SCORE) -> list[Span]:
     """Spans of literals whose best name reaches ``min_score``; a bare word needs a digit to count as a literal."""
     found: set[Span] = set()
+    blocks = {m.start("body") for m in _blocks(text)}
     for name, literal, start, end in name_literal_pairs(text):
-        quoted = start > 0 and text[start - 1] in "\"'`>"
+        quoted = start in blocks or start > 0 and text[start - 1] in "\"'`>"
         if len(literal) < MIN_LITERAL or not (quoted or any(c.isdigit() for c in literal)) or " " in literal and not quoted:
             continue
         weight = name_weight(name)

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -49,6 +50,53 @@ def test_assignments_are_read_whole(text, secret):
     assert secret not in secret_scan.redact(text, spans)
 
 
+@pytest.mark.parametrize(
+    "text, cleaned",
+    [
+        ('config["db_password"] = "Zx81kQpw99"', 'config["db_password"] = "[SECRET]"'),
+        ('x["a"]["api_key"]="Zx81kQpw99"', 'x["a"]["api_key"]="[SECRET]"'),
+        ('password = ("Zx81kQpw99")', 'password = ("[SECRET]")'),
+        ('password = "Zx81" + "kQpw99"', 'password = "[SECRET]"'),
+        ('password = (\n  "Zx81"\n  "kQpw99")', 'password = (\n  "[SECRET]")'),
+        ('user, password = "bob", "Zx81kQpw99"', 'user, password = "bob", "[SECRET]"'),
+        ("password: |\n  Zx81kQpw99 is it\n  more\nnext: 1", "password: |\n  [SECRET]\nnext: 1"),
+        ('password = DEFAULT\nDEFAULT = "Zx81kQpw99"', 'password = [SECRET]\nDEFAULT = "[SECRET]"'),
+        ('c = a\na = b\ntoken = c\nb = "Zx81kQpw99"', 'c = a\na = b\ntoken = c\nb = "[SECRET]"'),
+        ('password = os.getenv("DB_PASSWORD", "Zx81kQpw99")', 'password = [SECRET]("DB_PASSWORD", "[SECRET]")'),
+        ('password = getenv("DB_PASSWORD")', 'password = [SECRET]("DB_PASSWORD")'),
+        ("a = b\nb = a\npassword = a", "a = b\nb = a\npassword = a"),
+    ],
+)
+def test_forms_of_assignment_are_redacted(text, cleaned):
+    spans = sorted({*secret_scan.base_spans(text), *secret_scan.literal_spans(text)}, key=secret_scan._order)
+    assert secret_scan.redact(text, spans) == cleaned
+
+
+def test_long_chains_take_linear_work():
+    chain = "".join(f"x{i} = x{i + 1}\n" for i in range(30_000)) + 'x30000 = "Zx81kQpw99"\ntoken = x0\n'
+    assert [chain[a:b] for a, b, _ in secret_scan.literal_spans(chain)] == ["Zx81kQpw99"]
+
+
+def test_base_spans_against_a_plain_scan(sample):
+    """Every match of the patterns as they are stated, one by one from the left, over a whole sample."""
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    patterns = [("assign", assign), ("access", re.compile("AKIA[A-Z0-9]+")), ("hex", re.compile("[0-9a-f]+"))]
+    texts = [r.text or "" for r in sample.collect()]
+    some = 0
+    for text in [*texts, "token=AKIA" + "0" * 30 + " secret: " + "f" * 40, "AKIA" * 9 + "abc" * 20]:
+        want = []
+        for kind, pattern in patterns:
+            at = 0
+            while m := pattern.search(text, at):
+                at = m.end()
+                if len(m[2]) >= 6 if kind == "assign" else m.end() - m.start() >= {"access": 20, "hex": 24}[kind]:
+                    want.append((m.start(), m.end(), kind))
+        want.sort(key=lambda s: (s[0], ["assign", "access", "hex"].index(s[2])))
+        assert secret_scan.base_spans(text) == want
+        some += len(want)
+    assert some > 5
+
+
 def test_redaction_and_edges(edges, nothing):
     rows = secret_scan.scan_secrets(edges).collect()
     assert len(rows) == edges.count()
