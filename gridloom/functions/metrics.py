@@ -15,11 +15,12 @@ def gini_table(df: DataFrame, y: str, score: str) -> DataFrame:
     """One row (gini): 2 * AUC - 1 with tied scores counted half.
 
     Labels are counted per distinct score, then each score needs only the number
-    of negatives below it.
+    of negatives below it. A row without a score is an error.
     """
     label = F.col(y).cast("long")
+    known = F.coalesce(F.col(score).cast("double"), F.raise_error(F.lit("a row has no score")).cast("double"))
     per_score = (
-        df.select(label.alias("__y"), F.col(score).cast("double").alias("__s"))
+        df.select(label.alias("__y"), known.alias("__s"))
         .groupBy("__s")
         .agg(F.sum("__y").alias("__pos"), F.sum(F.lit(1) - F.col("__y")).alias("__neg"))
     )

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def transform_value(col: str, mode: str = "raw") -> Column:
     """Null -> 0, negatives -> 0, then raw / log1p / sqrt; unknown modes act as raw."""
     x = F.greatest(F.coalesce(F.col(col).cast("double"), F.lit(0.0)), F.lit(0.0))

@@ -47,25 +47,35 @@ def preprocess_text(col: str | Column, min_length: int = 3) -> Column:
     return keep_words(raw_tokens(col), min_length)
 
 
+#: Parts that the occurrences of one token are dealt to.
+SALTS = 16
+
+
+def salted_tokens(df: DataFrame, key: str, col: str, salts: int = SALTS) -> DataFrame:
+    """(key, token, __salt): each row's distinct tokens, a token's rows dealt to ``salts`` parts by their keys."""
+    tokens = df.filter(F.col(key).isNotNull()).select(key, F.explode(F.array_distinct(col)).alias("token"))
+    return tokens.withColumn("__salt", F.pmod(F.xxhash64(key, "token"), F.lit(salts)).cast("int"))
+
+
 def lemmatise(
-    df: DataFrame, key: str, col: str, dictionary: DataFrame, out: str = "lemmas"
+    df: DataFrame, key: str, col: str, dictionary: DataFrame, out: str = "lemmas", salts: int = SALTS
 ) -> DataFrame:
     """Replace tokens through a (token, lemma) table, keeping their order.
 
-    The list rebuilt per key is no longer than the token list it came from.
-    Keys must be unique; rows without tokens get an empty list.
+    A row sends each of its distinct tokens once and gets the lemmas of those it has any for back,
+    as a map no larger than its own tokens. A token that most rows hold is spread: its
+    rows are dealt to ``salts`` parts, and the dictionary has a copy for each part.
+    Keys must be unique; a null key's tokens stay as they are; rows without tokens get an empty list; of
+    several lemmas of a token the first in order counts.
     """
-    exploded = df.select(key, F.posexplode(col).alias("__at", "token"))
-    mapped = exploded.join(dictionary.select("token", "lemma"), "token", "left").select(
-        key, "__at", F.coalesce("lemma", "token").alias("__lemma")
-    )
-    lists = mapped.groupBy(key).agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("__at", "__lemma"))), lambda x: x["__lemma"]
-        ).alias(out)
-    )
-    blank = F.array().cast("array<string>")
-    return df.join(lists, key, "left").withColumn(out, F.coalesce(out, blank))
+    lemmas = dictionary.groupBy("token").agg(F.min("lemma").alias("lemma")).filter("token IS NOT NULL AND lemma IS NOT NULL")
+    copies = lemmas.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    found = salted_tokens(df, key, col, salts).join(copies, ["token", "__salt"])
+    maps = found.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("__lemmas"))
+    tokens = F.coalesce(F.col(col), F.array().cast("array<string>"))
+    known = F.coalesce("__lemmas", F.create_map().cast("map<string,string>"))
+    replaced = F.transform(tokens, lambda t: F.coalesce(F.element_at(known, t), t))
+    return df.join(maps, key, "left").withColumn(out, replaced).drop("__lemmas")
 
 
 def preprocess_with_lemmas(

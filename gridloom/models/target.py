@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,14 +13,25 @@ from gridloom.models.search import grid_search
 from gridloom.operators.encode import QuantileNormal
 
 
+@dataclass(frozen=True)
+class LogLaw:
+    """The logarithm as a target's shape."""
+
+    def forward(self, col: str | Column) -> Column:
+        return F.log(col)
+
+    def inverse(self, col: str | Column) -> Column:
+        return F.exp(col)
+
+
 @dataclass(frozen=True)
 class TransformedTarget:
     model: LinearModel
-    inverse: Callable[[Column], Column]
+    law: QuantileNormal | LogLaw
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         raw = self.model.predict(df, "__raw")
-        return raw.withColumn(out, self.inverse(F.col("__raw"))).drop("__raw")
+        return raw.withColumn(out, self.law.inverse(F.col("__raw"))).drop("__raw")
 
 
 def fit_transformed_target(
@@ -43,10 +54,10 @@ def fit_transformed_target(
         model = grid_search(shaped, x, "__target", alphas, k, order).model
     else:
         model = fit_ridge(shaped, x, "__target", alpha)
-    return TransformedTarget(model, law.inverse)
+    return TransformedTarget(model, law)
 
 
 def fit_log_target(df: DataFrame, x: Sequence[str], y: str, alpha: float = 0.0) -> TransformedTarget:
     """Least squares on the log of the target."""
-    shaped = df.withColumn("__target", F.log(y))
-    return TransformedTarget(fit_ridge(shaped, x, "__target", alpha), F.exp)
+    shaped = df.withColumn("__target", LogLaw().forward(y))
+    return TransformedTarget(fit_ridge(shaped, x, "__target", alpha), LogLaw())

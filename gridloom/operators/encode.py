@@ -6,18 +6,17 @@ DataFrames, per-column numbers are driver values.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions.numeric import let
 from gridloom.operators.ordered import column_quantiles, row_index
-from gridloom.operators.reshape import to_arrays
+from gridloom.operators.reshape import to_arrays, to_vectors
 from gridloom.sources.scratch import materialise
 
 
@@ -72,13 +71,18 @@ def _bounded(names: DataFrame) -> list:
     return found
 
 
+def category_weight(n: Column, min_leaf: float = 20.0, smoothing: float = 10.0) -> Column:
+    """Weight of a category's own mean against the prior, by its number of rows."""
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-(n - F.lit(min_leaf)) / F.lit(smoothing)))
+
+
 def target_stats(
     train: DataFrame, col: str, y: str, min_leaf: float = 20.0, smoothing: float = 10.0
 ) -> tuple[DataFrame, float]:
     """(category, encoding) table and the prior for everything not in it."""
     prior = train.agg(F.avg(F.col(y).cast("double"))).first()[0]
     prior = 0.0 if prior is None else float(prior)
-    weight = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("__n") - F.lit(min_leaf)) / F.lit(smoothing)))
+    weight = category_weight(F.col("__n"), min_leaf, smoothing)
     table = (
         train.filter(F.col(col).isNotNull())
         .groupBy(col)
@@ -197,21 +201,44 @@ _D = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e00,
 _TAIL = 0.02425
 # Fixed value: probabilities are kept this far from 0 and 1.
 _EDGE = 1e-7
+# Coefficients of J. Hart's rational approximation of the normal tail
+# exp(-z * z / 2) * p / q for 0 <= z < _FAR, highest power first.
+_HART_P = (3.52624965998911e-02, 7.00383064443688e-01, 6.37396220353165e00, 3.3912866078383e01,
+           1.12079291497871e02, 2.21213596169931e02, 2.20206867912376e02)
+_HART_Q = (8.83883476483184e-02, 1.75566716318264e00, 1.6064177579207e01, 8.67807322029461e01,
+           2.96564248779674e02, 6.37333633378831e02, 7.93826512519948e02, 4.40413735824752e02)
+_FAR = 7.07106781186547
+
+
+def _polynomial_of(coefficients: Sequence[float], x: Column) -> Column:
+    out = F.lit(coefficients[0])
+    for c in coefficients[1:]:
+        out = out * x + F.lit(c)
+    return out
+
+
+def normal_ppf(p: Column) -> Column:
+    """Inverse of the normal distribution function, probabilities kept off 0 and 1."""
+
+    def of(p: Column) -> Column:
+        near = F.least(p, 1 - p)
+        tail = let(F.sqrt(-2 * F.log(near)), lambda t: _polynomial_of(_C, t) / _polynomial_of(_D, t))
+        centre = let(p - 0.5, lambda q: let(q * q, lambda r: _polynomial_of(_A, r) * q / _polynomial_of(_B, r)))
+        return F.when(near < _TAIL, F.when(p < 0.5, tail).otherwise(-tail)).otherwise(centre)
 
+    return let(F.least(F.greatest(p, F.lit(_EDGE)), F.lit(1 - _EDGE)), of)
 
-def normal_ppf(p: np.ndarray) -> np.ndarray:
-    p = np.clip(np.asarray(p, dtype=float), _EDGE, 1 - _EDGE)
-    near = np.minimum(p, 1 - p)
-    t = np.sqrt(-2 * np.log(near))
-    tail = np.polyval(_C, t) / np.polyval(_D, t)
-    q = p - 0.5
-    centre = np.polyval(_A, q * q) * q / np.polyval(_B, q * q)
-    return np.where(near < _TAIL, np.where(p < 0.5, tail, -tail), centre)
 
+def normal_cdf(z: Column) -> Column:
+    """Distribution function of the normal law, to fourteen digits."""
 
-def normal_cdf(z: np.ndarray) -> np.ndarray:
-    erf = np.frompyfunc(math.erf, 1, 1)
-    return 0.5 * (1 + erf(np.asarray(z, dtype=float) / math.sqrt(2)).astype(float))
+    def of(z: Column) -> Column:
+        size = F.abs(z)
+        tail = F.exp(-z * z / 2) * _polynomial_of(_HART_P, size) / _polynomial_of(_HART_Q, size)
+        tail = F.when(size < _FAR, tail).otherwise(0.0)
+        return F.when(z > 0, 1 - tail).otherwise(tail)
+
+    return let(z, of)
 
 
 @dataclass(frozen=True)
@@ -219,7 +246,8 @@ class QuantileNormal:
     """Maps a column to a normal law through its train quantiles, and back.
 
     Holds ``n`` quantiles, so the model does not grow with the data. Both
-    directions interpolate batches of rows inside the tasks.
+    directions are expressions: a binary search in the sorted quantiles, a straight
+    line between two of them, and the normal law as rational functions. Null and NaN give null.
     """
 
     quantiles: tuple[float, ...]
@@ -229,123 +257,134 @@ class QuantileNormal:
         n = max(2, min(n, train.filter(F.col(col).isNotNull()).count()))
         probs = [float(p) for p in np.linspace(0, 1, n)]
         found = column_quantiles(train, [col], probs)[col]
-        return QuantileNormal(tuple(np.maximum.accumulate([found[p] for p in probs])))
+        return QuantileNormal(tuple(float(q) for q in np.maximum.accumulate([found[p] for p in probs])))
 
-    def forward(self, col: str | Column) -> Column:
-        q = np.array(self.quantiles)
-        refs = np.linspace(0, 1, len(q))
+    def _count(self, below: Callable[[Column], Column]) -> Column:
+        """How many quantiles are below, where ``below`` holds for a first stretch of them."""
+        n, table = len(self.quantiles), F.array(*[F.lit(q) for q in self.quantiles])
+        steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
+
+        def further(at: Column, step: Column) -> Column:
+            return F.when((at + step <= n) & below(F.get(table, at + step - 1)), at + step).otherwise(at)
+
+        return F.aggregate(steps, F.lit(0), further)
+
+    def share(self, x: Column) -> Column:
+        """Share of the train values up to x, in the middle of equal ones."""
+        q, last = self.quantiles, len(self.quantiles) - 1
+        table = F.array(*[F.lit(v) for v in q])
+
+        def of(x: Column) -> Column:
+            counts = F.struct(self._count(lambda v: v < x).alias("under"), self._count(lambda v: v <= x).alias("upto"))
 
-        @F.pandas_udf("double")
-        def to_normal(x: pd.Series) -> pd.Series:
-            v = x.to_numpy(dtype=float, na_value=np.nan)
-            up = np.interp(v, q, refs)
-            down = -np.interp(-v, -q[::-1], -refs[::-1])
-            p = np.where(v - _EDGE < q[0], 0.0, np.where(v + _EDGE > q[-1], 1.0, (up + down) / 2))
-            return pd.Series(np.where(np.isnan(v), np.nan, normal_ppf(np.nan_to_num(p))))
+            def place(c: Column) -> Column:
+                low, high = F.get(table, c["under"] - 1), F.get(table, c["under"])
+                between = c["under"] - 1 + (x - low) / (high - low)
+                return F.when(c["upto"] > c["under"], (c["under"] + c["upto"] - 1) / F.lit(2.0)).otherwise(between) / F.lit(float(last))
 
-        return to_normal(F.col(col) if isinstance(col, str) else col)
+            inside = let(counts, place)
+            return F.when(x - _EDGE < q[0], 0.0).when(x + _EDGE > q[last], 1.0).otherwise(inside)
+
+        return let(x, of)
+
+    def forward(self, col: str | Column) -> Column:
+        x = (F.col(col) if isinstance(col, str) else col).cast("double")
+        return F.when(x.isNotNull() & ~F.isnan(x), normal_ppf(self.share(x)))
 
     def inverse(self, col: str | Column) -> Column:
-        q = np.array(self.quantiles)
-        refs = np.linspace(0, 1, len(q))
+        z = (F.col(col) if isinstance(col, str) else col).cast("double")
+        q, last = self.quantiles, len(self.quantiles) - 1
+        table = F.array(*[F.lit(v) for v in q])
 
-        @F.pandas_udf("double")
-        def from_normal(z: pd.Series) -> pd.Series:
-            v = z.to_numpy(dtype=float, na_value=np.nan)
-            p = normal_cdf(np.nan_to_num(v))
-            p = np.where(p <= _EDGE * 1.01, 0.0, np.where(p >= 1 - _EDGE * 1.01, 1.0, p))
-            return pd.Series(np.where(np.isnan(v), np.nan, np.interp(p, refs, q)))
+        def of(p: Column) -> Column:
+            at = F.least(F.floor(p * last), F.lit(last - 1)).cast("int")
+            low, high = F.get(table, at), F.get(table, at + 1)
+            line = low + (p * last - at) * (high - low)
+            return F.when(p <= _EDGE * 1.01, q[0]).when(p >= 1 - _EDGE * 1.01, q[last]).otherwise(line)
 
-        return from_normal(F.col(col) if isinstance(col, str) else col)
+        return F.when(z.isNotNull() & ~F.isnan(z), let(normal_cdf(z), of))
 
 
-# --- signed multi-hot set encoder --------------------------------------------
+# --- set encoder -------------------------------------------------------------
+
+@dataclass(frozen=True)
+class Side:
+    """Slots of one side: the weight of an item there, and the block of columns it counts in."""
+
+    first: int
+    last: int
+    weight: int
+    block: int
+
+
+#: One block, in which the sides cancel each other out; or a block for each side.
+SIGNED = (Side(0, 4, 1, 0), Side(128, 132, -1, 0))
+SPLIT = (Side(0, 4, 1, 0), Side(128, 132, 1, 1))
+
 
 @dataclass(frozen=True)
 class SetEncoder:
-    """Items of the two sides of a match as +1 / -1, or as two 0/1 halves.
+    """Items of a match as a vector: the sign of the weights that its sides give each item.
 
-    ``dictionary`` is (hero_id, col) with columns numbered by sorted id.
+    ``dictionary`` is (hero_id, col), the items numbered by ascending id.
     """
 
     dictionary: DataFrame
     n_items: int
-    split_teams: bool = False
-    side_a: tuple[int, int] = (0, 4)
-    side_b: tuple[int, int] = (128, 132)
+    sides: tuple[Side, ...] = SIGNED
 
     @property
     def n_features(self) -> int:
-        return self.n_items * (2 if self.split_teams else 1)
+        return self.n_items * (1 + max(side.block for side in self.sides))
 
     @staticmethod
-    def fit(items: DataFrame, split_teams: bool = False, **slots) -> "SetEncoder":
-        source = next((c for c in ("id", "hero_id") if c in items.columns), None)
-        if source is None:
+    def fit(items: DataFrame, split_teams: bool = False, sides: tuple[Side, ...] | None = None) -> "SetEncoder":
+        named = [c for c in items.columns if c in ("id", "hero_id")]
+        if not named:
             raise ValueError("the item table has neither an id nor a hero_id column")
-        ids = (
-            items.select(F.col(source).try_cast("int").alias("hero_id"))
-            .filter(F.col("hero_id").isNotNull())
-            .distinct()
-            .orderBy("hero_id")
-        )
-        # As many rows as the encoded vectors have cells.
-        numbered = [(item, i) for i, item in enumerate(_bounded(ids))]
-        table = items.sparkSession.createDataFrame(numbered, "hero_id int, col int")
-        return SetEncoder(table, len(numbered), split_teams, **slots)
-
-    def placed(self, players: DataFrame) -> DataFrame:
-        """(match_id, hero_id, sign) of the rows with an item and a side."""
-        slot = F.col("player_slot")
-        sign = F.when(slot.between(*self.side_a), 1).when(slot.between(*self.side_b), -1)
-        return (
-            players.select(
-                F.col("match_id").try_cast("long").alias("match_id"),
-                F.col("hero_id").try_cast("int").alias("hero_id"),
-                F.col("player_slot").try_cast("int").alias("player_slot"),
-            )
-            .filter(F.col("hero_id").isNotNull() & (F.col("hero_id") != 0))
-            .select("match_id", "hero_id", sign.alias("sign"))
-            .filter(F.col("sign").isNotNull())
-        )
+        item = F.col("id" if "id" in named else "hero_id").try_cast("int").alias("hero_id")
+        # As many rows as a block of the encoded vectors has cells.
+        listed = _bounded(items.select(item).dropna().distinct().orderBy("hero_id"))
+        table = items.sparkSession.createDataFrame([(v, i) for i, v in enumerate(listed)], "hero_id int, col int")
+        return SetEncoder(table, len(listed), sides or (SPLIT if split_teams else SIGNED))
 
     def coordinates(self, players: DataFrame) -> DataFrame:
         """(match_id, col, value) of non-zero cells; raises at once on an item that the table lacks."""
-        placed = self.placed(players)
+        match, item, slot = (F.col(c).try_cast(t) for c, t in (("match_id", "long"), ("hero_id", "int"), ("player_slot", "int")))
+        side = F.coalesce(*[
+            F.when(slot.between(s.first, s.last), F.struct(F.lit(s.weight).alias("weight"), F.lit(s.block).alias("block"))) for s in self.sides
+        ])
+        seen = players.select(match.alias("match_id"), item.alias("hero_id"), side.alias("side"))
+        seen = seen.filter("match_id IS NOT NULL AND side IS NOT NULL AND hero_id != 0")
         # At most MOST_NAMES rows; a shuffle by item would put a popular item into one task.
-        items = F.broadcast(self.dictionary)
-        unknown = placed.join(items, "hero_id", "left_anti").limit(1).collect()
-        if unknown:
-            raise ValueError(f"the item table lacks item {unknown[0]['hero_id']}")
-        cells = placed.join(items, "hero_id")
-        if self.split_teams:
-            shift = F.when(F.col("sign") < 0, self.n_items).otherwise(0)
-            cells = cells.withColumn("col", F.col("col") + shift)
-            value = F.lit(1)
-        else:
-            value = F.signum(F.sum("sign")).cast("int")
-        summed = cells.filter(F.col("match_id").isNotNull()).groupBy("match_id", "col").agg(value.alias("value"))
-        return summed.filter(F.col("value") != 0)
+        known = F.broadcast(self.dictionary)
+        stray = seen.join(known, "hero_id", "left_anti").select("hero_id").head()
+        if stray:
+            raise ValueError(f"the item table lacks item {stray[0]}")
+        cells = seen.join(known, "hero_id").groupBy("match_id", (F.col("col") + F.col("side.block") * self.n_items).alias("col"))
+        return cells.agg(F.signum(F.sum("side.weight")).cast("int").alias("value")).filter("value != 0")
+
+    def _rows(self, players: DataFrame, matches: DataFrame | None) -> DataFrame:
+        """Ids that get a row: those of ``matches`` with their repeats, or each one of ``players``."""
+        ids = (matches if matches is not None else players).select(F.col("match_id").try_cast("long").alias("match_id"))
+        return ids if matches is not None else ids.distinct()
+
+    def vectors(self, players: DataFrame, matches: DataFrame | None = None, name: str = "features") -> DataFrame:
+        """One sparse vector per match; a match without rows has an empty one."""
+        return to_vectors(self.coordinates(players), "match_id", self.n_features, name, self._rows(players, matches))
 
     def transform(self, players: DataFrame, matches: DataFrame | None = None, name: str = "features") -> DataFrame:
-        """One dense row per match; a match without rows is a zero vector.
-
-        Without ``matches`` every match of ``players`` gets a row.
-        """
-        ids = matches if matches is not None else players
-        ids = ids.select(F.col("match_id").try_cast("long").alias("match_id"))
-        if matches is None:
-            ids = ids.distinct()
-        zero = F.array_repeat(F.lit(0.0), self.n_features)
+        """One dense array per match, for few items; ``vectors`` does not grow with their number."""
         rows = to_arrays(self.coordinates(players), "match_id", self.n_features, name)
-        return ids.join(rows, "match_id", "left").withColumn(name, F.coalesce(name, zero))
+        zero = F.array_repeat(F.lit(0.0), self.n_features)
+        return self._rows(players, matches).join(rows, "match_id", "left").withColumn(name, F.coalesce(name, zero))
 
-    def transform_batches(self, players: DataFrame, matches: DataFrame, batch_size: int = 100_000) -> DataFrame:
-        """``transform`` with the batch number of each match, in match order.
+    def transform_batches(self, players: DataFrame, matches: DataFrame, batch_size: int = 100_000, name: str = "features") -> DataFrame:
+        """``vectors`` with the batch number of each match, in match order.
 
         Batches are cut by match, so one match is never split; Spark's own
         partitions bound the memory.
         """
         numbered = row_index(matches.select("match_id"), ["match_id"], "row")
-        batches = numbered.select("match_id", F.floor(F.col("row") / batch_size).alias("batch"))
-        return self.transform(players, batches).join(batches, "match_id")
+        batches = numbered.select(F.col("match_id").try_cast("long").alias("match_id"), F.floor(F.col("row") / batch_size).alias("batch"))
+        return to_vectors(self.coordinates(players), "match_id", self.n_features, name, batches)

@@ -144,8 +144,12 @@ def repeat_rows(df: DataFrame, n: int, name: str | None = None) -> DataFrame:
 
 
 def repeat_df(df: DataFrame, n: int, key: str = "timestamp") -> DataFrame:
-    """Scale-out copy keyed on ``key``: a keyed row appears ``n`` times; null keys match nothing."""
-    return repeat_rows(df.filter(F.col(key).isNotNull()), n)
+    """Scale-out copy keyed on ``key``: a keyed row appears ``n`` times.
+
+    Null keys match nothing, but are one key: where there are any, ``n`` rows without values stand for them.
+    """
+    unmatched = df.filter(F.col(key).isNull()).limit(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    return repeat_rows(df.filter(F.col(key).isNotNull()).union(unmatched), n)
 
 
 def head(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:
@@ -165,14 +169,32 @@ def order_by(df: DataFrame, keys: Sequence[str], desc: Sequence[bool] | None = N
     ])
 
 
-def sample_n(df: DataFrame, n: int, seed: int, key: Sequence[str]) -> DataFrame:
-    """``n`` rows without replacement, the same ones under any partitioning.
+def sample_n(df: DataFrame, n: int, seed: int, key: Sequence[str], hashed: Column | None = None) -> DataFrame:
+    """``n`` rows without replacement, the same ones under any partitioning: those of the smallest hashes of their key.
 
-    Rows are ordered by a seeded hash of their key, so each task only keeps its
-    own first ``n``.
+    ``hashed`` is a 64-bit hash to use instead of a seeded one. The n-th smallest hash is found by counting
+    rows by hash prefix, 16 more bits at a time and inside one prefix only, so the sample is a
+    filter over the rows as they lie; rows of equal hash are taken in key order.
     """
-    h = F.xxhash64(F.lit(seed), *key)
-    return df.orderBy(h, *key).limit(n)
+    h = F.xxhash64(F.lit(seed), *key) if hashed is None else hashed
+    rest, inside = n, F.lit(True)
+    if n <= 0:
+        return df.limit(0)
+    for bits in (48, 32, 16, 0):
+        prefix = F.shiftright(h, bits)
+        found = None
+        for row in sorted(df.filter(inside).groupBy(prefix.alias("p")).count().collect(), key=lambda r: r["p"]):
+            if row["count"] >= rest:
+                found = row
+                break
+            rest -= row["count"]
+        if found is None:
+            return df  # fewer than n rows in all
+        if found["count"] == rest:
+            return df.filter(prefix <= found["p"])
+        inside = prefix == found["p"]
+    tied = df.filter(inside).orderBy(*key).limit(rest)
+    return df.filter(h < found["p"]).unionAll(tied)
 
 
 def union_all(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.sources.scratch import materialise
+from gridloom.sources.scratch import materialise, materialise_by
 
 #: Rows that salted slices may leave of a group for its last ranking in ``top_by_limit``.
 WINDOW_ROWS = 1_000_000
@@ -39,12 +39,13 @@ def as_column(key: str | Column) -> Column:
 def range_slices(df: DataFrame, keys: Sequence[str | Column], sort: bool = False) -> DataFrame:
     """Pin ``df`` split by ranges of ``keys``; adds the slice number.
 
-    With ``sort`` the rows are also ordered inside each slice and numbered.
+    The copy is bucketed by slice, so windows inside slices need no further shuffle.
+    With ``sort`` the rows are ordered inside each slice and numbered instead.
     """
     cols = [as_column(k) for k in keys]
     sliced = df.repartitionByRange(*cols)
     if not sort:
-        return materialise(sliced.withColumn(_SLICE, F.spark_partition_id()))
+        return materialise_by(sliced.withColumn(_SLICE, F.spark_partition_id()), _SLICE)
     numbered = sliced.sortWithinPartitions(*cols).withColumn(_POS, F.monotonically_increasing_id())
     # The id is (task number << 33) + position in the task.
     return materialise(

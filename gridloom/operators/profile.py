@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions.numeric import let
 from gridloom.operators.ordered import column_quantiles, group_median, prefix_sums
 from gridloom.sources.scratch import materialise
 
@@ -140,6 +141,32 @@ def histogram(df: DataFrame, col: str, bins: int | str = 10) -> DataFrame:
     )
 
 
+#: Draws after which a gamma variable is its shape's mode; each is taken with a chance of 0.95 or more.
+_TRIES = 12
+
+
+def _uniform(seed: int, key: str, tag: str) -> Column:
+    """In (0, 1), from a hash of the group, the replicate and a name for the draw."""
+    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key).cast("string"), "replicate", F.lit(tag)), 11)
+    return (bits + 0.5) * F.lit(2.0**-53)
+
+
+def _gamma(shape: Column, uniform: Callable[[str], Column], tag: str) -> Column:
+    """A gamma variable of a shape of at least 1 (Marsaglia and Tsang's method, the first accepted draw)."""
+
+    def draw(d: Column, i: int) -> Column:
+        normal = F.sqrt(-2 * F.log(uniform(f"{tag}{i}a"))) * F.cos(F.lit(2 * math.pi) * uniform(f"{tag}{i}b"))
+
+        def accepted(x: Column) -> Column:
+            return let(F.pow(1 + x / F.sqrt(9 * d), 3), lambda v: F.when(
+                (v > 0) & (F.log(uniform(f"{tag}{i}c")) < x * x / 2 + d - d * v + d * F.log(F.greatest(v, F.lit(1e-300)))), d * v
+            ))
+
+        return let(normal, accepted)
+
+    return let(shape - F.lit(1 / 3), lambda d: F.coalesce(*[draw(d, i) for i in range(_TRIES)], d))
+
+
 def bootstrap_ci(
     df: DataFrame, key: str, col: str, level: float = 0.96, replicates: int = 1000, seed: int = 0
 ) -> DataFrame:
@@ -156,27 +183,18 @@ def bootstrap_ci(
     upto = prefix_sums(counts, [key], ["__v"], {"__hi": F.col("__n")})
     sizes = counts.groupBy(key).agg(F.sum("__n").alias("n"))
 
-    @F.pandas_udf("lo long, up long")
-    def middle(n: pd.Series, replicate: pd.Series, group_seed: pd.Series) -> pd.DataFrame:
-        n = n.to_numpy()
-        u, v = np.empty(len(n)), np.empty(len(n))
-        for i, (s, r) in enumerate(zip(group_seed.to_numpy(), replicate.to_numpy())):
-            rng = np.random.default_rng([int(s) & 0xFFFFFFFF, int(s) >> 32 & 0xFFFFFFFF, int(r)])
-            m = (n[i] + 1) // 2
-            u[i] = rng.beta(m, n[i] + 1 - m)
-            v[i] = rng.random()
-        odd = n % 2 == 1
-        rest = np.maximum(n - (n + 1) // 2, 1)
-        upper = np.where(odd, u, 1 - (1 - u) * v ** (1 / rest))
-        at = lambda x: np.minimum((x * n).astype("int64"), n - 1)
-        return pd.DataFrame({"lo": at(u), "up": at(upper)})
-
-    draws = sizes.select(
-        key, "n", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")
-    ).withColumn("at", middle("n", "replicate", F.xxhash64(F.lit(seed), F.col(key).cast("string"))))
-    picked = draws.select(
-        key, "replicate", F.explode(F.array("at.lo", "at.up")).alias("pos")
-    )
+    # Of n uniforms the m-th smallest is G / (G + H), gamma variables of shapes m and n + 1 - m;
+    # the next one lies above it by the smallest of the n - m uniforms that are left.
+    n = F.col("n")
+    m = F.floor((n + 1) / 2)
+    uniform = lambda tag: _uniform(seed, key, tag)
+    share = let(F.struct(_gamma(m, uniform, "g").alias("g"), _gamma(n + 1 - m, uniform, "h").alias("h")), lambda s: s["g"] / (s["g"] + s["h"]))
+    rest = F.greatest(n - m, F.lit(1))
+    next_share = F.when(n % 2 == 1, F.col("u")).otherwise(1 - (1 - F.col("u")) * F.pow(uniform("next"), 1 / rest))
+    at = lambda x: F.least(F.floor(x * n), n - 1)
+    draws = sizes.select(key, "n", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")).withColumn("u", share)
+    draws = materialise(draws.select(key, "replicate", at(F.col("u")).alias("lo"), at(next_share).alias("up")))
+    picked = draws.select(key, "replicate", F.explode(F.array("lo", "up")).alias("pos"))
     # Distinct positions wanted per group, so that the value table is met once
     # per position and not once per replicate.
     want = picked.groupBy(key, "pos").agg(F.count("*").alias("uses"))

@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gridloom.sources.scratch import materialise
 
 
 def unpivot(df: DataFrame, index: Sequence[str], on: Sequence[str], variable: str, value: str) -> DataFrame:
@@ -68,6 +72,40 @@ def to_arrays(coords: DataFrame, key: str, size: int, name: str = "features") ->
     return coords.groupBy(key).agg(sorted_cells.alias("__cells")).select(key, dense.alias(name))
 
 
+def sparse_rows(coords: DataFrame, key: str, size: int, name: str = "features", rows: DataFrame | None = None) -> DataFrame:
+    """(key, col, value) coordinates -> the parts of one sparse vector of ``size`` per key.
+
+    One grouped aggregate: a key's row holds its own cells and nothing of the
+    width. With ``rows`` every key of theirs has a row, empty where it has no
+    coordinates, beside their other columns. Equal coordinates must already be summed.
+    """
+    cell = F.struct(F.col("col").cast("int").alias("col"), F.col("value").cast("double").alias("value"))
+    cells = coords.groupBy(key).agg(F.sort_array(F.collect_list(cell)).alias("__cells"))
+    if rows is not None:
+        cells = rows.join(cells, key, "left")
+    known = F.coalesce("__cells", F.array().cast("array<struct<col:int,value:double>>"))
+    parts = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).cast("int").alias("size"),
+        F.transform(known, lambda x: x["col"]).alias("indices"), F.transform(known, lambda x: x["value"]).alias("values"),
+    )
+    return cells.select(*[c for c in cells.columns if c != "__cells"], parts.alias(name))
+
+
+def as_vectors(df: DataFrame, name: str = "features") -> DataFrame:
+    """The written table with the parts that ``sparse_rows`` gives read as Spark ML vectors.
+
+    Parquet stores a vector as these parts, so reading under the vector's type is
+    all the conversion there is: no function runs over the rows.
+    """
+    fields = [T.StructField(f.name, VectorUDT() if f.name == name else f.dataType) for f in df.schema.fields]
+    return materialise(df, T.StructType(fields))
+
+
+def to_vectors(coords: DataFrame, key: str, size: int, name: str = "features", rows: DataFrame | None = None) -> DataFrame:
+    """``sparse_rows`` as a column of sparse vectors."""
+    return as_vectors(sparse_rows(coords, key, size, name, rows), name)
+
+
 def combine_blocks(keyed: DataFrame, blocks: Sequence[str], out: str = "features") -> DataFrame:
     """Join several vector / numeric columns of a keyed table into one vector."""
     if not blocks:

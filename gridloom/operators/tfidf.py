@@ -50,6 +50,10 @@ def term_counts(df: DataFrame, key: str, words: str, low: int = 1, high: int = 2
     return runs.select(key, F.explode(F.transform("__at", run)).alias("__run")).select(key, "__run.*")
 
 
+def smooth_idf(n_docs: int, df: Column) -> Column:
+    return F.log((F.lit(1.0) + F.lit(n_docs)) / (F.lit(1.0) + df)) + F.lit(1.0)
+
+
 @dataclass(frozen=True)
 class TfIdf:
     """Fitted vocabulary: (term, idf), at most ``max_features`` rows."""
@@ -75,7 +79,7 @@ class TfIdf:
         n_docs = train.count()
         low = min_df if isinstance(min_df, int) else min_df * n_docs
         high = max_df if isinstance(max_df, int) else max_df * n_docs
-        idf = F.log((F.lit(1.0) + F.lit(n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+        idf = smooth_idf(n_docs, F.col("df"))
         terms = (
             term_counts(train, key, words, *ngram_range)
             .groupBy("term")

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegressionModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +30,7 @@ from gridloom.plans.features import (
     build_feature_config,
     build_feature_tables,
 )
+from gridloom.plans.folds import fold_features
 from gridloom.sources.scratch import materialise
 from gridloom.sources.sinks import run_record, save_run_record, save_test_predictions
 
@@ -100,7 +101,13 @@ def score_folds(folds: list[FeatureTables], params: Mapping | None = None) -> tu
 def cross_validate(
     train: DataFrame, cfg: FeatureConfig, *, model_params: Mapping | None = None, **options
 ) -> tuple[float, list[float]]:
-    return score_folds(fold_tables(train, cfg, **options), model_params)
+    """Mean and per-fold Gini; preprocessing is fitted for all folds at once from blocks of time.
+
+    Only where the items of sets must be learned from each fold's own players are fold tables written.
+    """
+    learns_items = options.get("use_heroes", False) and options.get("heroes") is None
+    folds = (fold_tables if learns_items else fold_features)(train, cfg, **options)
+    return score_folds(folds, model_params)
 
 
 def fit_and_predict(
@@ -130,8 +137,10 @@ def fit_and_predict(
 
 
 def has_any_feature(df: DataFrame, features: str = "features") -> bool:
-    nonzero = F.exists(vector_to_array(features), lambda v: v != 0)
-    return df.filter(nonzero).limit(1).count() > 0
+    """One aggregate as wide as a vector; no row is spelt out."""
+    # Grouped by a constant, an empty table gives no row, where the summarizer alone would fail.
+    counts = df.groupBy(F.lit(1)).agg(Summarizer.numNonZeros(F.col(features)).alias("n")).first()
+    return counts is not None and bool(counts["n"].toArray().any())
 
 
 @dataclass(frozen=True)

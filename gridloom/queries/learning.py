@@ -5,23 +5,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import metrics
-from gridloom.models import linear, search, splits, statistics
+from gridloom.models import linear, search, splits, stages, statistics
 from gridloom.models.logistic import fit_logistic, positive_probability
 from gridloom.models.target import fit_log_target, fit_transformed_target
 from gridloom.operators import encode, tfidf
 from gridloom.operators.frame import fill_const
 from gridloom.operators.reshape import combine_blocks
 from gridloom.plans.features import FeatureConfig, FeatureSelection, TextOptions, build_feature_tables
-from gridloom.plans.runs import Run, fit_and_predict, fold_tables, score_folds
+from gridloom.plans.folds import fold_features
+from gridloom.plans.runs import Run, cross_validate, fit_and_predict, fold_tables, score_folds
 from gridloom.queries.catalog import query
 from gridloom.queries.inputs import GROUP_SIZE, HOUSE_ORDER, HOUSE_X, Tables, r
 from gridloom.queries.shaping import CLEAN_SQL, TOKEN_SQL, WORD_SQL, collapse_sql
-from gridloom.sources.scratch import scratch_path
+from gridloom.sources import sinks
+from gridloom.sources.scratch import materialise, scratch_path
 
 # Train is three quarters of the matches by id; "other" is every match, with some
 # regions and modes that train does not have.
@@ -63,8 +66,8 @@ def _(t: Tables) -> DataFrame:
      FROM (SELECT match_id FROM matches) LEFT JOIN v USING (match_id), n GROUP BY match_id)""",
 )
 def _(t: Tables) -> DataFrame:
-    rows = encode.SetEncoder.fit(t.heroes).transform(t.players, t.matches)
-    return rows.select("match_id", F.array_join(F.col("features").cast("array<int>"), ",").alias("cells"))
+    rows = encode.SetEncoder.fit(t.heroes).vectors(t.players, t.matches)
+    return rows.select("match_id", F.array_join(vector_to_array("features").cast("array<int>"), ",").alias("cells"))
 
 
 @query(
@@ -171,11 +174,10 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     train, other = _parts(t)
-    cfg = FeatureConfig(
-        {"target": ("region",), "ohe": ("month",), "numeric": ("avg_mmr", "mmr_missing")}, mmr_transform="raw"
-    )
-    tables = build_feature_tables(train, other, cfg)
-    v = tables.other.select("match_id", vector_to_array("features").alias("v"))
+    unfitted = stages.make_preprocessor(["region"], ["month"], ["avg_mmr", "mmr_missing"], "radiant_win", mode="raw")
+    path = scratch_path(t.spark, "preprocessor")
+    sinks.save(unfitted.fit(train), path)
+    v = sinks.load(PipelineModel, path).transform(other).select("match_id", vector_to_array("features").alias("v"))
     # One target column, twelve months in text order, two numeric columns.
     months = F.array(*[F.lit(int(m)) for m in sorted(map(str, range(1, 13)))])
     hot = F.slice("v", 2, 12)
@@ -188,6 +190,30 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "io6_pipeline_save_load",
+    f"""WITH {_PARTS}, {_TARGET}, q AS (SELECT quantile_cont(avg_mmr, [0.25, 0.5, 0.75]) AS q, avg(avg_mmr) AS m FROM tr)
+    SELECT match_id, round(coalesce(enc, (SELECT avg(radiant_win) FROM tr)), 6) AS encoded,
+           CAST((coalesce(avg_mmr, m) >= q[1])::INT + (coalesce(avg_mmr, m) >= q[2])::INT + (coalesce(avg_mmr, m) >= q[3])::INT AS INTEGER) AS bin,
+           round(coalesce(avg_mmr, m), 4) AS filled
+    FROM ot LEFT JOIN te USING (region), q""",
+)
+def _(t: Tables) -> DataFrame:
+    train, other = _parts(t)
+    parts = [
+        stages.TargetEncoder(inputCol="region", outputCol="encoded", labelCol="radiant_win"),
+        stages.FillScale(inputCols=["avg_mmr"], outputCols=["filled"], strategy="mean", scaled=False),
+        # Bins of the known values: fitted before the gaps are filled, applied to the filled column.
+        stages.QuantileBins(inputCol="avg_mmr", outputCol="bin", bins=4),
+    ]
+    path = scratch_path(t.spark, "pipeline")
+    sinks.save(Pipeline(stages=parts).fit(train), path)
+    encoder, fill, bins = sinks.load(PipelineModel, path).stages
+    filled = fill.transform(encoder.transform(other))
+    binned = bins.copy({bins.inputCol: "filled"}).transform(filled)
+    return binned.select("match_id", r("encoded").alias("encoded"), "bin", r("filled", 4).alias("filled"))
+
+
 @query(
     "fe11_tfidf",
     f"""WITH w AS (SELECT doc_id, [x FOR x IN regexp_extract_all({collapse_sql(CLEAN_SQL)}, '{TOKEN_SQL}') IF {WORD_SQL}] AS w FROM documents),
@@ -247,6 +273,34 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+_SHARES = ", ".join(repr(float(p)) for p in np.linspace(0, 1, 300))
+
+
+def _sql_polynomial(coefficients: Sequence[float], x: str) -> str:
+    out = repr(coefficients[0])
+    for c in coefficients[1:]:
+        out = f"({out} * {x} + {c!r})"
+    return out
+
+
+@query(
+    "fe14_normal_scores",
+    f"""WITH l AS (SELECT quantile_cont(o_totalprice, [{_SHARES}]) AS q FROM orders),
+    c AS (SELECT o_orderkey, o_totalprice AS x, q, len(list_filter(q, lambda v: v < o_totalprice)) AS under,
+                 len(list_filter(q, lambda v: v <= o_totalprice)) AS upto FROM orders, l),
+    s AS (SELECT o_orderkey, CASE WHEN x - 1e-7 < q[1] THEN 0.0 WHEN x + 1e-7 > q[300] THEN 1.0 WHEN upto > under THEN (under + upto - 1) / 2.0 / 299
+                 ELSE (under - 1 + (x - q[under]) / (q[under + 1] - q[under])) / 299 END AS share FROM c),
+    e AS (SELECT *, least(greatest(share, 1e-7), 1 - 1e-7) AS p FROM s),
+    f AS (SELECT *, sqrt(-2 * ln(least(p, 1 - p))) AS u, p - 0.5 AS w, (p - 0.5) * (p - 0.5) AS r FROM e)
+    SELECT o_orderkey, round(share, 8) AS share, round(CASE WHEN least(p, 1 - p) < {encode._TAIL} THEN CASE WHEN p < 0.5 THEN 1 ELSE -1 END
+           * {_sql_polynomial(encode._C, 'u')} / {_sql_polynomial(encode._D, 'u')}
+           ELSE {_sql_polynomial(encode._A, 'r')} * w / {_sql_polynomial(encode._B, 'r')} END, 6) + 0.0 AS z FROM f""",
+)
+def _(t: Tables) -> DataFrame:
+    law = encode.QuantileNormal.fit(t.orders, "o_totalprice", 300)
+    return t.orders.select("o_orderkey", r(law.share(F.col("o_totalprice")), 8).alias("share"), r(law.forward("o_totalprice")).alias("z"))
+
+
 @query(
     "fe15_trim_outliers",
     """WITH e AS (SELECT orderkey, linenumber, partkey, pow(y - quantity * retail, 2) AS err FROM house)
@@ -411,6 +465,18 @@ def _(t: Tables) -> DataFrame:
     return _weights(t, linear.fit_ridge(t.house, ["quantity", "size"], "y", 5000.0))
 
 
+@query(
+    "io6_linear_save_load",
+    f"""WITH {_RIDGE.format(alpha=5000, source='house')} SELECT orderkey, linenumber, partkey,
+    round(my + w1 * (quantity - m1) + w2 * (size - m2), 2) AS prediction FROM house, rw""",
+)
+def _(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "linear")
+    sinks.save(linear.fit_ridge(t.house, ["quantity", "size"], "y", 5000.0), path)
+    out = sinks.load(linear.LinearModel, path).predict(t.house)
+    return out.select("orderkey", "linenumber", "partkey", r("prediction", 2).alias("prediction"))
+
+
 @query(
     "ml8_lasso",
     """WITH s AS (SELECT 'quantity' AS name, covar_pop(quantity, y) AS c, var_pop(quantity) AS v FROM house
@@ -693,7 +759,7 @@ def _(t: Tables) -> DataFrame:
     CAST(a AS BIGINT) AS n_train, true AS in_range FROM fd""",
 )
 def _(t: Tables) -> DataFrame:
-    folds = fold_tables(t.matches, _BASE, n_splits=3)
+    folds = fold_features(t.matches, _BASE, n_splits=3)
     mean, ginis = score_folds(folds)
     rows = [
         (i, f.other.count(), f.train.count(), bool(-1 <= g <= 1 and -1 <= mean <= 1))
@@ -702,6 +768,43 @@ def _(t: Tables) -> DataFrame:
     return t.spark.createDataFrame(rows, "fold int, n_valid long, n_train long, in_range boolean")
 
 
+# With the smoothed region alone, a score rises with the encoding: Gini and order of the scores follow from it.
+_RISING = FeatureConfig({"target": ("region",)})
+_WEIGHT = "1 / (1 + exp(-(n - 20) / 10.0))"
+
+
+@query(
+    "ml23_fold_ginis",
+    f"""WITH rr AS (SELECT *, row_number() OVER (ORDER BY date NULLS LAST, match_id) - 1 AS rw FROM matches), {_FOLDS.format(k=3, k1=4)},
+    te AS (SELECT fold, region, count(*) AS n, avg(radiant_win) AS m FROM rr JOIN fd ON rr.rw < a GROUP BY fold, region),
+    pr AS (SELECT fold, sum(n * m) / sum(n) AS prior FROM te GROUP BY fold),
+    v AS (SELECT fd.fold, radiant_win AS y, coalesce(prior * (1 - {_WEIGHT}) + m * {_WEIGHT}, prior) AS s
+          FROM rr JOIN fd ON rr.rw >= a AND rr.rw < b JOIN pr ON pr.fold = fd.fold LEFT JOIN te ON te.fold = fd.fold AND te.region = rr.region),
+    k AS (SELECT fold, y, rank() OVER (PARTITION BY fold ORDER BY s) + (count(*) OVER (PARTITION BY fold, s) - 1) / 2.0 AS rk FROM v),
+    p AS (SELECT fold, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS q, sum(rk) FILTER (y = 1) AS rs FROM k GROUP BY fold)
+    SELECT CAST(fold AS INTEGER) AS fold, round(2 * ((rs - p * (p + 1) / 2.0) / (p * q)) - 1, 8) AS gini FROM p""",
+)
+def _(t: Tables) -> DataFrame:
+    _, ginis = cross_validate(t.matches, _RISING, n_splits=3)
+    return t.spark.createDataFrame([(i, round(g, 8) + 0.0) for i, g in enumerate(ginis, start=1)], "fold int, gini double")
+
+
+@query(
+    "ml24_score_order",
+    f"""WITH te AS (SELECT region, count(*) AS n, avg(radiant_win) AS m FROM matches WHERE match_id % 4 <> 0 GROUP BY region),
+    pr AS (SELECT sum(n * m) / sum(n) AS prior FROM te)
+    SELECT match_id, CAST(dense_rank() OVER (ORDER BY coalesce(prior * (1 - {_WEIGHT}) + m * {_WEIGHT}, prior)) AS INTEGER) AS place
+    FROM matches LEFT JOIN te USING (region), pr WHERE match_id % 4 = 0""",
+)
+def _(t: Tables) -> DataFrame:
+    late = F.col("match_id") % 4 == 0
+    _, scored = fit_and_predict(t.matches.filter(~late), t.matches.filter(late).drop("radiant_win"), _RISING)
+    scored = materialise(scored)
+    # As many distinct scores as regions.
+    places = scored.select("score").distinct().withColumn("place", F.dense_rank().over(Window.orderBy("score")))
+    return scored.join(F.broadcast(places), "score").select("match_id", "place")
+
+
 @query(
     "ml24_fit_predict",
     "SELECT match_id, true AS is_share FROM matches WHERE match_id % 4 = 0",

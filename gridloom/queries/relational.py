@@ -685,6 +685,16 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "st5_sample_rows",
+    """SELECT o_orderkey FROM orders ORDER BY CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 15) AS BIGINT), o_orderkey LIMIT 250""",
+)
+def _(t: Tables) -> DataFrame:
+    # A hash that both engines have, so that the rows themselves can be compared.
+    hashed = F.conv(F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 15), 16, 10).cast("long")
+    return frame.sample_n(t.orders.select("o_orderkey"), 250, 0, ["o_orderkey"], hashed)
+
+
 # --- sets and duplicates ----------------------------------------------------------------
 
 @query("so1_distinct", "SELECT DISTINCT p1 AS a, p2 AS b FROM survey")

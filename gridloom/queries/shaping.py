@@ -124,8 +124,8 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     coords = t.lineitem.groupBy("l_orderkey", (F.col("l_linenumber") - 1).alias("col")).agg(F.count("*").alias("value"))
-    rows = reshape.to_arrays(coords, "l_orderkey", 7)
-    return rows.select("l_orderkey", F.array_join(F.col("features").cast("array<int>"), ",").alias("cells"))
+    rows = reshape.to_vectors(coords, "l_orderkey", 7)
+    return rows.select("l_orderkey", F.array_join(vector_to_array("features").cast("array<int>"), ",").alias("cells"))
 
 
 @query(
@@ -512,8 +512,9 @@ def _(t: Tables) -> DataFrame:
     encoder = SetEncoder.fit(t.heroes)
     rows = encoder.transform_batches(t.players, t.matches, 1000)
     add = lambda a, x: a + x
-    total = F.aggregate("features", F.lit(0.0), add)
-    size = F.aggregate(F.transform("features", F.abs), F.lit(0.0), add)
+    cells = vector_to_array("features")
+    total = F.aggregate(cells, F.lit(0.0), add)
+    size = F.aggregate(F.transform(cells, F.abs), F.lit(0.0), add)
     return rows.groupBy("batch").agg(
         F.count("*").alias("n"), r(F.sum(total), 1).alias("total"), r(F.sum(size), 1).alias("nonzero")
     )

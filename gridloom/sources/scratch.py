@@ -12,9 +12,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _CONF = "spark.checkpoint.dir"
 _written: list[str] = []
+_tables: dict[str, str] = {}
 _local_root: tempfile.TemporaryDirectory | None = None
 
 
@@ -38,15 +40,31 @@ def scratch_path(spark: SparkSession, name: str = "table") -> str:
     return path
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the scratch area and return a reader of that copy.
+def materialise(df: DataFrame, schema: StructType | None = None) -> DataFrame:
+    """Write ``df`` once to the scratch area and return a reader of that copy, under ``schema`` if given.
 
     The size of the copy is known from its files, so a small fitted table joins
     by broadcast straight away, and a large one does not.
     """
     path = scratch_path(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
+
+
+def materialise_by(df: DataFrame, column: str) -> DataFrame:
+    """``materialise`` with all rows of a value of ``column`` in one bucket.
+
+    A later grouping or window by that column, alone or with others, reads the buckets
+    as they lie and shuffles nothing. The copy is a table of the session's catalog;
+    ``discard`` drops it with its files.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark)
+    name = "gridloom_" + path.rsplit("-", 1)[1]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("path", path).bucketBy(buckets, column).saveAsTable(name)
+    _tables[path] = name
+    return spark.table(name)
 
 
 def written_paths() -> list[str]:
@@ -58,6 +76,8 @@ def discard(spark: SparkSession, paths: list[str]) -> None:
     """Delete written tables that no later read needs."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for name in paths:
+        if name in _tables:
+            spark.sql(f"DROP TABLE IF EXISTS {_tables.pop(name)}")
         path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
         if name in _written:

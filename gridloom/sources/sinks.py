@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.operators.ordered import row_index
+from gridloom.sources.fitted import load_fitted, save_fitted
 from gridloom.sources.scratch import materialise
 from gridloom.sources.tables import CSV_TEXT, read_csv
 
@@ -117,9 +118,18 @@ class ResultStore:
 
 
 def save(model, path: str) -> None:
-    """Persist a fitted Spark model or transformer."""
-    model.write().overwrite().save(path)
+    """Persist a fitted Spark model, stage or pipeline, or a fitted object of this library; the former replace what is there."""
+    if hasattr(model, "write"):
+        model.write().overwrite().save(path)
+    else:
+        save_fitted(model, path, SparkSession.active())
 
 
 def load(kind: type, path: str):
-    return kind.load(path)
+    """What ``save`` has written, in any later session; ``kind`` is its class."""
+    if hasattr(kind, "load"):
+        return kind.load(path)
+    found = load_fitted(path, SparkSession.active())
+    if not isinstance(found, kind):
+        raise TypeError(f"{path} holds a {type(found).__name__}")
+    return found

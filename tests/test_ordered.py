@@ -114,6 +114,27 @@ def test_bootstrap_matches_resampling(spark):
     assert row["high"] == pytest.approx(high, abs=0.03)
 
 
+def test_bootstrap_draws_are_expressions(spark):
+    """Even sizes, tiny groups and no Python in the plan of the draws."""
+    rng = np.random.default_rng(2)
+    groups = {"even": rng.exponential(size=200).round(3), "one": np.array([5.0]), "two": np.array([1.0, 2.0])}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in groups.items() for v in vs], "k string, v double")
+    ci = profile.bootstrap_ci(df, "k", "v", 0.9, 2000, seed=5)
+    assert "Python" not in _plan(ci) and "ArrowEval" not in _plan(ci)
+    got = {r.k: r for r in ci.collect()}
+    medians = np.median(rng.choice(groups["even"], (4000, 200)), axis=1)
+    assert got["even"].low == pytest.approx(np.quantile(medians, 0.05), abs=0.03)
+    assert got["even"].high == pytest.approx(np.quantile(medians, 0.95), abs=0.03)
+    assert (got["one"].low, got["one"].high) == (5.0, 5.0) and (got["two"].low, got["two"].high) == (1.0, 2.0)
+
+
+def test_running_totals_shuffle_rows_once(spark, skewed):
+    """The slices lie in buckets: ranking them exchanges nothing but one row per slice and group."""
+    df, _ = skewed
+    of_rows = _plan(ordered.rank_in_group(df, ["grp"], ["v", "id"])).split("BroadcastExchange")[0]
+    assert "Window" in of_rows and "Bucketed: true" in of_rows and "Exchange" not in of_rows
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -64,9 +64,37 @@ def test_filter_without_key_column(spark):
     assert joins.filter_by_ids(df, spark.createDataFrame([(1,)], "match_id int"), "match_id").count() == 0
 
 
-def test_repeat_drops_null_keys(spark):
-    df = spark.createDataFrame([("a",), (None,)], "timestamp string")
-    assert rows(frame.repeat_df(df, 3)) == [("a",)] * 3
+def test_repeat_with_null_keys(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "timestamp string, v int")
+    repeated = frame.repeat_df(df, 3)
+    assert repeated.filter("timestamp = 'a' AND v = 1").count() == 3
+    # The null key matches no row, but is one key: it comes n times, without values.
+    assert repeated.filter("timestamp IS NULL AND v IS NULL").count() == 3 and repeated.count() == 6
+    assert frame.repeat_df(df.filter("timestamp = 'a'"), 2).count() == 2
+
+
+def test_sample_is_a_filter(spark):
+    df = spark.range(5000).select((F.col("id") % 4000).alias("k")).repartition(7)
+    h = F.xxhash64(F.lit(3), "k")
+    for n in (0, 1, 250, 4999, 5000, 9000):
+        got = frame.sample_n(df, n, 3, ["k"])
+        assert rows(got) == rows(df.orderBy(h, "k").limit(n)), n
+    few = frame.sample_n(df, 250, 3, ["k"])
+    assert few.rdd.getNumPartitions() > 1 if few.count() == 250 else True
+    tied = frame.sample_n(df, 100, 3, ["k"], F.lit(7).cast("long"))  # all hashes equal: key order
+    assert [r.k for r in tied.orderBy("k").collect()] == sorted([*range(100)] * 2)[:100]
+    with pytest.raises(Exception, match="no score"):
+        gini_score(spark.createDataFrame([(1, None), (0, 1.0)], "y int, s double"), "y", "s")
+
+
+def test_hot_token_is_dealt_to_many_tasks(spark):
+    docs = spark.createDataFrame([(i, ["hot", "hot", f"t{i}"]) for i in range(600)] + [(600, None), (601, [])], "id int, tk array<string>")
+    per_task = text.salted_tokens(docs, "id", "tk").repartition(32, "token", "__salt").withColumn("task", F.spark_partition_id())
+    hot = [r["count"] for r in per_task.filter("token = 'hot'").groupBy("task").count().collect()]
+    assert sum(hot) == 600 and len(hot) >= 8 and max(hot) < 200
+    lemmas = spark.createDataFrame([("hot", "warm"), ("hot", "zzz"), ("t5", None), (None, "x")], "token string, lemma string")
+    got = {r.id: r.lemmas for r in text.lemmatise(docs, "id", "tk", lemmas).collect()}
+    assert got[5] == ["warm", "warm", "t5"] and got[600] == got[601] == [] and len(got) == 602
 
 
 def test_describe_nearest_and_histogram(spark):
@@ -249,7 +277,12 @@ def test_quantile_normal(spark):
 
     p = np.concatenate([np.linspace(1e-6, 1 - 1e-6, 500), [0.02425, 0.5]])
     want = np.array([NormalDist().inv_cdf(x) for x in p])
-    assert np.allclose(encode.normal_ppf(p), want, atol=1e-7)
+    probabilities = spark.createDataFrame([(float(x),) for x in p], "p double")
+    z = np.array([r.z for r in probabilities.select(encode.normal_ppf(F.col("p")).alias("z")).collect()])
+    assert np.allclose(z, want, atol=1e-7)
+    points = spark.createDataFrame([(float(x),) for x in np.linspace(-9, 9, 721)], "z double")
+    back = np.array([r.p for r in points.select(encode.normal_cdf(F.col("z")).alias("p")).collect()])
+    assert np.allclose(back, [NormalDist().cdf(x) for x in np.linspace(-9, 9, 721)], atol=1e-12)
     df = spark.range(1000).select((F.col("id") * F.col("id")).cast("double").alias("x"))
     law = encode.QuantileNormal.fit(df, "x", 1000)
     got = [r.z for r in df.select("x", law.forward("x").alias("z")).orderBy("x").collect()]
@@ -257,6 +290,17 @@ def test_quantile_normal(spark):
     assert got[500] == pytest.approx(NormalDist().inv_cdf(500 / 999), abs=1e-6)
     gaps = spark.createDataFrame([(None,), (4.0,)], "x double").select(law.forward("x").alias("z"))
     assert gaps.filter("z is null").count() == 1
+    # The same shares as interpolating upwards and downwards and taking the middle, as for repeated quantiles.
+    q = np.array([1.0, 1.0, 1.0, 2.0, 4.0, 4.0, 7.0])
+    tied = encode.QuantileNormal(tuple(q))
+    x = [1.0, 1.5, 2.0, 3.0, 4.0, 6.5, 7.0, 0.0, 9.0]
+    refs = np.linspace(0, 1, len(q))
+    want = [0.0 if v - 1e-7 < q[0] else 1.0 if v + 1e-7 > q[-1] else (np.interp(v, q, refs) - np.interp(-v, -q[::-1], -refs[::-1])) / 2 for v in x]
+    shares = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "i int, x double").select("i", tied.share(F.col("x")).alias("p"), tied.inverse(tied.forward("x")).alias("back"))
+    found = shares.orderBy("i").collect()
+    assert np.allclose([r.p for r in found], want)
+    assert [round(r.back, 6) for r in found] == [1.0, 1.5, 2.0, 3.0, 4.0, 6.5, 7.0, 1.0, 7.0]
+    assert "Python" not in shares._jdf.queryExecution().executedPlan().toString()
 
 
 def test_feature_guards(spark):
