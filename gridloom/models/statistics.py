@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,34 +77,40 @@ def gather(df: DataFrame, x: Sequence[str], y: str, by: str | None = None) -> di
 
 
 def _sums(df: DataFrame, k: int, shift: np.ndarray, by: str | None) -> dict:
-    """Each task multiplies its batches and sends one small matrix per segment."""
-    cols = [f"c{i}" for i in range(k)]
-    df = df.withColumn("seg", F.col(by) if by else F.lit(0)).drop(*([by] if by else []))
-    seg_type = df.schema["seg"].dataType.simpleString()
-
-    def block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each task multiplies its batches and sends one small matrix, or one per segment."""
+    keys = ["seg"] if by else []
+    columns = df.select(*[f"c{i}" for i in range(k)], *([F.col(by).alias("seg")] if by else []))
+    at_i, at_j = np.triu_indices(k + 1)
+
+    def parts(batch: pa.RecordBatch, z: np.ndarray) -> Iterator[tuple]:
+        if not by:
+            yield None, z
+            return
+        coded = batch.column(k).dictionary_encode()
+        codes = coded.indices.fill_null(-1).to_numpy()
+        for code in np.unique(codes):
+            yield (None if code < 0 else coded.dictionary[int(code)].as_py()), z[codes == code]
+
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict = {}
-        for pdf in batches:
-            for seg, part in pdf.groupby("seg", dropna=False):
-                z = np.column_stack([np.ones(len(part)), part[cols].to_numpy(dtype=float)])
-                sums[seg] = sums.get(seg, 0) + z.T @ z
+        kind = pa.null()
+        for batch in batches:
+            kind = batch.schema.field(k).type if by else kind
+            z = np.column_stack([np.ones(batch.num_rows), *[batch.column(i).to_numpy() for i in range(k)]])
+            for seg, rows in parts(batch, z):
+                sums[seg] = sums.get(seg, 0) + rows.T @ rows
         for seg, m in sums.items():
-            i, j = np.triu_indices(k + 1)
-            yield pd.DataFrame({"seg": seg, "i": i, "j": j, "v": m[i, j]})
-
-    cells = (
-        df.mapInPandas(block, f"seg {seg_type}, i int, j int, v double")
-        .groupBy("seg", "i", "j")
-        .agg(F.sum("v").alias("v"))
-        .toPandas()
-    )
-    out = {}
-    for seg, part in cells.groupby("seg", dropna=False):
-        m = np.zeros((k + 1, k + 1))
-        m[part["i"], part["j"]] = part["v"]
-        m = m + np.triu(m, 1).T
-        out[seg if by else None] = Stats(m[0, 0], shift, m[0, 1:], m[1:, 1:])
-    return out
+            cells = [pa.array(at_i, pa.int32()), pa.array(at_j, pa.int32()), pa.array(m[at_i, at_j])]
+            names = ["i", "j", "v"]
+            yield pa.RecordBatch.from_arrays([pa.array([seg] * len(at_i), kind), *cells] if by else cells, names=[*keys, *names])
+
+    seg_type = f"seg {columns.schema['seg'].dataType.simpleString()}, " if by else ""
+    summed = columns.mapInArrow(block, f"{seg_type}i int, j int, v double").groupBy(*keys, "i", "j").agg(F.sum("v").alias("v"))
+    found: dict = {}
+    for row in summed.collect():
+        m = found.setdefault(row["seg"] if by else None, np.zeros((k + 1, k + 1)))
+        m[row["i"], row["j"]] = m[row["j"], row["i"]] = row["v"]
+    return {seg: Stats(m[0, 0], shift, m[0, 1:], m[1:, 1:]) for seg, m in found.items()}
 
 
 def gram_table(df: DataFrame, x: Sequence[str], y: str) -> DataFrame:

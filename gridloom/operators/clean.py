@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.dates import extract_date_features
 from gridloom.functions.numeric import transform_value
 from gridloom.operators.frame import drop_nulls, not_equal, to_numeric, union_aligned
-from gridloom.operators.joins import anti, filter_by_ids, lookup_null_safe
+from gridloom.operators.joins import filter_by_ids, lookup_null_safe
 from gridloom.operators.ordered import keep_last
 from gridloom.sources.scratch import materialise
 
@@ -47,23 +47,27 @@ def preprocess_players(df: DataFrame, group_size: int = 10) -> DataFrame:
     return df.join(proper.select("match_id"), "match_id", "left_semi")
 
 
+def _group_counts(df: DataFrame, key: str, item: str) -> DataFrame:
+    """(key, n_rows, n_items, n_zero); null counts as an item."""
+    return df.groupBy(key).agg(
+        F.count("*").alias("n_rows"),
+        (F.count_distinct(item) + F.max(F.col(item).isNull().cast("int"))).cast("long").alias("n_items"),
+        F.count_if(F.col(item) == 0).alias("n_zero"),
+    )
+
+
 def mismatched_groups(df: DataFrame, key: str = "match_id", item: str = "hero_id") -> DataFrame:
     """Groups with fewer different items than rows; null counts as an item."""
-    return (
-        df.groupBy(key)
-        .agg(
-            F.count("*").alias("n_rows"),
-            (F.count_distinct(item) + F.max(F.col(item).isNull().cast("int"))).cast("long").alias("n_items"),
-        )
-        .filter(F.col("n_rows") != F.col("n_items"))
-    )
+    return _group_counts(df, key, item).filter(F.col("n_rows") != F.col("n_items")).drop("n_zero")
 
 
 def clean_groups_strict(df: DataFrame, key: str = "match_id", item: str = "hero_id") -> DataFrame:
-    """Drop groups with repeated items or with item 0, then every row with a null."""
-    without_repeats = anti(df, mismatched_groups(df, key, item), key)
-    with_zero = df.filter(F.col(item) == 0).select(key).distinct()
-    return drop_nulls(anti(without_repeats, with_zero, key))
+    """Drop groups with repeated items or with item 0, then every row with a null.
+
+    One aggregate and one semi join; a null key goes with the nulls.
+    """
+    proper = _group_counts(df, key, item).filter((F.col("n_rows") == F.col("n_items")) & (F.col("n_zero") == 0))
+    return drop_nulls(df.join(proper.select(key), key, "left_semi"))
 
 
 def item_zero_users(df: DataFrame, user: str = "account_id", item: str = "hero_id") -> DataFrame:

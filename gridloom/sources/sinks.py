@@ -20,9 +20,10 @@ def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header; one file per partition under ``path``.
 
     Quotes are doubled, an empty text is written as "" and a null as nothing, so
-    ``read_csv`` and other readers get every value back, line breaks included.
+    ``read_csv`` and other readers get every value back, line breaks and outer blanks included.
     """
-    df.write.mode("overwrite").options(header=True, **CSV_TEXT).csv(path)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, **blanks, **CSV_TEXT).csv(path)
 
 
 def predictions_table(

@@ -353,6 +353,33 @@ def test_csv_gives_every_text_back(spark, tmp_path):
     assert dict(guessed.dtypes)["id"] == "int"
 
 
+def test_quoted_line_breaks_are_read_by_many_tasks(spark, tmp_path):
+    """One file, splits that begin inside quoted texts, texts longer than a split, and every value back."""
+    import random
+
+    r = random.Random(1)
+    texts = [None, "", 'a "q" b', "line\nbreak", "x,y", "\n\n", '"', "long\n" * 900, " pad ", "plain", "cr\r\nlf"]
+    rows = [(i, r.choice(texts), r.random()) for i in range(600)]
+    schema = "id long, t string, v double"
+    sinks.write_csv(spark.createDataFrame(rows, schema).coalesce(1), str(tmp_path / "t"))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("3000", "20000", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            got = tables.read_csv(spark, str(tmp_path / "t"), schema)
+            tasks = tables.read_records(spark, str(tmp_path / "t")).select(F.spark_partition_id().alias("p")).distinct().count()
+            assert sorted(map(tuple, got.collect())) == rows and (tasks > 4 or size == "128m"), size
+            assert got.select("id").filter("id < 9").count() == 9
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    flat = spark.createDataFrame([(1, "a"), (2, "b")], "id long, t string")
+    sinks.write_csv(flat, str(tmp_path / "flat"))
+    for breaks in (True, False):
+        assert sorted(map(tuple, tables.read_csv(spark, str(tmp_path / "flat"), flat.schema, line_breaks=breaks).collect())) == [(1, "a"), (2, "b")]
+
+
 def test_submission_ids_are_compared_both_ways(spark):
     test = spark.createDataFrame([(1,), (1,), (2,)], "match_id long")
     scored = spark.createDataFrame([(1, 0.1), (2, 0.2), (3, 0.3)], "match_id long, score double")
