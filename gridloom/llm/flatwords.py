@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -108,6 +108,8 @@ def chunks(texts: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) -> Itera
         end = min(end, n)
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
+    # A worker outlives its task; what it has read is given back, not kept for the next one.
+    pa.default_memory_pool().release_unused()
 
 
 def word_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, FlatWords]]:
