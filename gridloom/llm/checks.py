@@ -1,5 +1,36 @@
 """DuckDB SQL that gives the rows of those queries that SQL can express."""
 
+_PREFERENCES = """
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), chosen AS (
+    SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place FROM turns
+), replies AS (
+    SELECT conv_id, max(place) AS place, arg_max(text, place) AS text FROM chosen WHERE role = 'assistant' GROUP BY conv_id
+), swaps AS (
+    SELECT conv_id, place, coalesce(lead(text) OVER (ORDER BY conv_id), first_value(text) OVER (ORDER BY conv_id)) AS other FROM replies
+), rejected AS (
+    SELECT conv_id, place, role, coalesce(other, text) AS text FROM chosen LEFT JOIN swaps USING (conv_id, place)
+), apart AS (
+    SELECT conv_id, coalesce(min(place) FILTER (c.text <> r.text), max(place) + 1) AS prefix_turns
+    FROM chosen c JOIN rejected r USING (conv_id, place) GROUP BY conv_id
+), pieces AS (
+    SELECT s.*, s.place < prefix_turns AS common, prefix_turns, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS piece
+    FROM (SELECT 'c' AS side, * FROM chosen UNION ALL BY NAME SELECT 'r' AS side, * FROM rejected) s JOIN apart USING (conv_id)
+), spans AS (
+    SELECT *, sum(length(piece)) OVER (PARTITION BY conv_id, side, common ORDER BY place)::BIGINT AS stop FROM pieces
+), marked AS (
+    SELECT *, CASE WHEN role = 'assistant' THEN (stop - length(text) - 8) || ':' || stop END AS span FROM spans
+)
+SELECT conv_id AS pair_id, prefix_turns,
+    coalesce(string_agg(piece, '' ORDER BY place) FILTER (common AND side = 'c'), '') AS prompt,
+    coalesce(string_agg(piece, '' ORDER BY place) FILTER (NOT common AND side = 'c'), '') AS chosen,
+    coalesce(string_agg(piece, '' ORDER BY place) FILTER (NOT common AND side = 'r'), '') AS rejected,
+    coalesce(string_agg(span, ',' ORDER BY place) FILTER (NOT common AND side = 'c'), '') AS chosen_mask,
+    coalesce(string_agg(span, ',' ORDER BY place) FILTER (NOT common AND side = 'r'), '') AS rejected_mask
+FROM marked GROUP BY conv_id, prefix_turns
+"""
+
 _HARD_NEGATIVES = """
 WITH sound AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -80,4 +111,4 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled
 """
 
-SQL = {"op11_hard_negatives": _HARD_NEGATIVES, "op12_periodic_runs": _PERIODIC_RUNS, "op13_url_rules": _URL_RULES}
+SQL = {"op4_preferences": _PREFERENCES, "op11_hard_negatives": _HARD_NEGATIVES, "op12_periodic_runs": _PERIODIC_RUNS, "op13_url_rules": _URL_RULES}

@@ -14,7 +14,7 @@ from gridloom.llm.length_buckets import pack_documents, word_length
 from gridloom.llm.mixing import mix_documents
 from gridloom.llm.ngram_join import ngram_jaccard_join
 from gridloom.llm.periodic_runs import find_runs
-from gridloom.llm.preferences import format_preferences, swapped_replies
+from gridloom.llm.preferences import format_pairs, swapped_pairs
 from gridloom.llm.quality_rules import quality_rules
 from gridloom.llm.secret_scan import scan_secrets
 from gridloom.llm.site_quality import site_quality
@@ -44,7 +44,7 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_preferences(spark: SparkSession, folder: str) -> DataFrame:
-    return format_preferences(*swapped_replies(_table(spark, folder, "conversations")))
+    return format_pairs(swapped_pairs(_table(spark, folder, "conversations")))
 
 
 def op5_length_buckets(spark: SparkSession, folder: str) -> DataFrame:

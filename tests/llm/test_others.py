@@ -252,6 +252,50 @@ def test_preferences_edges(spark):
     assert preferences.format_preferences(*preferences.swapped_replies(empty)).count() == 0
 
 
+def _plain_pairs(rows):
+    """The preference rows of (conv_id, turn, role, text) in plain Python."""
+    talks = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            talks.setdefault(conv, []).append((turn is not None, turn or 0, role or "unknown", text or ""))
+    talks = {c: [t[2:] for t in sorted(ts)] for c, ts in talks.items()}
+    last = {c: max(i for i, t in enumerate(ts) if t[0] == "assistant") for c, ts in talks.items() if any(t[0] == "assistant" for t in ts)}
+    ids = sorted(last)
+    out = {}
+    for c, ts in talks.items():
+        other = list(ts)
+        if c in last:
+            giver = ids[(ids.index(c) + 1) % len(ids)]
+            other[last[c]] = ("assistant", talks[giver][last[giver]][1])
+        n = next((i for i, (a, b) in enumerate(zip(ts, other)) if a != b), len(ts))
+        row = [n, "".join(f"<|{r}|>\n{t}<|end|>\n" for r, t in ts[:n])]
+        masks = []
+        for side in (ts, other):
+            done, spans = "", []
+            for r, t in side[n:]:
+                start = len(done) + len(f"<|{r}|>\n")
+                done += f"<|{r}|>\n{t}<|end|>\n"
+                if r == "assistant":
+                    spans.append(f"{start}:{len(done)}")
+            row.append(done)
+            masks.append(",".join(spans))
+        out[c] = tuple(row + masks)
+    return out
+
+
+def test_preferences_against_plain_python(spark):
+    r = random.Random(8)
+    rows = [
+        (r.choice([None, *range(-3, 12)]), r.choice([None, 0, 1, 2, 3, 4]), r.choice(["user", "assistant", "system", None]), r.choice([None, "", "so", "né 😀", "x" * 70]))
+        for _ in range(150)
+    ]
+    rows += rows[:30] + [(50, i, ("user", "assistant")[i % 2], "w" * (i % 5)) for i in range(5_000)]
+    schema = "conv_id long, turn long, role string, text string, turns string, stop long, n long, at long, chosen string"
+    turns = spark.createDataFrame([(*x, "extra", 1, 2, 3, "x") for x in rows], schema)
+    got = {x[0]: tuple(x[1:]) for x in preferences.format_pairs(preferences.swapped_pairs(turns)).collect()}
+    assert got == _plain_pairs(rows)
+
+
 # -- packing
 
 def test_bounds_are_optimal():
