@@ -4,8 +4,8 @@ from gridloom.functions.dates import extract_date_features
 from gridloom.functions.metrics import constant_baseline, gini_score, mae, make_scorer, rmse
 from gridloom.functions.text import lemmatise, preprocess_text
 from gridloom.models.linear import (
-    Huber, L2, LogCosh, Mse, fit_adam, fit_closed_form, fit_gd, fit_lasso, fit_momentum, fit_ols, fit_ridge, fit_sag,
-    fit_segmented, fit_sgd, fit_svd, weights_report,
+    Huber, L2, LogCosh, Mse, fit_adam, fit_block_sag, fit_closed_form, fit_gd, fit_lasso, fit_momentum, fit_ols, fit_ridge,
+    fit_sag, fit_segmented, fit_sgd, fit_svd, lasso_path, weights_report,
 )
 from gridloom.models.logistic import fit_logistic, positive_probability
 from gridloom.models.search import grid_search, kfold_scores, random_search

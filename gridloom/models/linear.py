@@ -46,6 +46,60 @@ def solve_ridge(stats: Stats, alpha: float = 0.0) -> tuple[np.ndarray, float]:
     return w, float(m[d] - m[:d] @ w)
 
 
+@dataclass(frozen=True)
+class LassoFit:
+    alpha: float
+    weights: np.ndarray
+    intercept: float
+    rounds: int  # sweeps over the weights
+
+
+def _lasso_rounds(q: np.ndarray, r: np.ndarray, alpha: float, w: np.ndarray, tol: float, max_iter: int) -> int:
+    """Bring ``w`` to the optimum of w'qw/2 - r'w + alpha |w|_1, in place; the number of sweeps.
+
+    Only the active weights are swept: those that are not zero, then those whose
+    slope at zero exceeds the penalty. The slopes of all the others are followed,
+    one column per changed weight, and looked at again once the active ones stand.
+    """
+    diag, slope = np.diag(q), r - q @ w
+    free = diag > 0
+    active = free & (w != 0)
+    for done in range(max_iter):
+        biggest = 0.0
+        for j in np.flatnonzero(active):
+            rho = slope[j] + diag[j] * w[j]
+            new = math.copysign(max(abs(rho) - alpha, 0.0), rho) / diag[j]
+            moved = new - w[j]
+            if moved:
+                slope -= moved * q[:, j]
+                w[j] = new
+                biggest = max(biggest, abs(moved) * math.sqrt(diag[j]))
+        if biggest < tol:
+            slope = r - q @ w  # rounding of the many small updates
+            # A weight at zero whose slope exceeds the penalty would move by more than the tolerance.
+            found = free & ~active & (np.abs(slope) - alpha >= tol * np.sqrt(np.maximum(diag, 0)))
+            if not found.any():
+                return done + 1
+            active |= found
+    warnings.warn(f"lasso has not converged in {max_iter} rounds", RuntimeWarning, stacklevel=3)
+    return max_iter
+
+
+def lasso_path(stats: Stats, alphas: Sequence[float], tol: float = 1e-10, max_iter: int = 10_000) -> list[LassoFit]:
+    """Minimisers of |y - Xw - b|^2 / (2n) + alpha |w|_1 for each penalty, in the order given.
+
+    The penalties are taken from the greatest down; each fit starts from the one before.
+    """
+    c, d = stats.centred() / stats.n, stats.d
+    q, r, m = c[:d, :d], c[:d, d], stats.means()
+    least = tol * max(1.0, math.sqrt(c[d, d]))
+    w, found = np.zeros(d), {}
+    for alpha in sorted(set(alphas), reverse=True):
+        rounds = _lasso_rounds(q, r, alpha, w, least, max_iter)
+        found[alpha] = LassoFit(alpha, w.copy(), float(m[d] - m[:d] @ w), rounds)
+    return [found[a] for a in alphas]
+
+
 def solve_lasso(
     stats: Stats, alpha: float, tol: float = 1e-10, max_iter: int = 10_000
 ) -> tuple[np.ndarray, float]:
@@ -53,24 +107,8 @@ def solve_lasso(
 
     Coordinate steps on the d x d statistics; the data are not read again.
     """
-    c, d = stats.centred() / stats.n, stats.d
-    q, r = c[:d, :d], c[:d, d]
-    w = np.zeros(d)
-    for _ in range(max_iter):
-        biggest = 0.0
-        for j in range(d):
-            if q[j, j] <= 0:
-                continue
-            rho = r[j] - q[j] @ w + q[j, j] * w[j]
-            new = math.copysign(max(abs(rho) - alpha, 0.0), rho) / q[j, j]
-            biggest = max(biggest, abs(new - w[j]) * math.sqrt(q[j, j]))
-            w[j] = new
-        if biggest < tol * max(1.0, math.sqrt(c[d, d])):
-            break
-    else:
-        warnings.warn(f"lasso has not converged in {max_iter} rounds", RuntimeWarning, stacklevel=2)
-    m = stats.means()
-    return w, float(m[d] - m[:d] @ w)
+    fit = lasso_path(stats, [alpha], tol, max_iter)[0]
+    return fit.weights, fit.intercept
 
 
 def _one(df: DataFrame, x: Sequence[str], y: str) -> Stats:
@@ -529,3 +567,89 @@ def fit_sag(
         return step
 
     return _stochastic(df, x, y, key, loss, batch_size, tolerance, max_iter, seed, rule)
+
+
+#: Gradient sums that the driver holds for blocks of rows.
+MOST_BLOCKS = 4_096
+
+
+def fit_block_sag(
+    df: DataFrame,
+    x: Sequence[str],
+    y: str,
+    block: Column,
+    blocks: int,
+    loss=Mse(),
+    lr: Callable[[int], float] = TimeDecayLR(),
+    per_step: int = 1,
+    tolerance: float = 1e-6,
+    max_iter: int = 1000,
+    seed: int = 0,
+) -> LinearModel:
+    """Stochastic average gradient with one remembered gradient per block of rows.
+
+    ``block`` deals the rows to 0 .. blocks - 1, by a hash of their key for instance;
+    rows that it gives null are left out, as are rows that are not complete. A step
+    refreshes the gradient sums of ``per_step`` blocks (``drawn_blocks``) and moves by
+    the mean gradient of all rows, those of blocks never drawn counting as zero. The
+    driver remembers blocks x d numbers, whatever the number of steps and rows.
+
+    The sums of the squared loss follow from the blocks' statistics, gathered in one
+    pass. Other losses take one aggregate a step over the drawn blocks, which lie in
+    folders of their own.
+    """
+    if not 0 < per_step <= blocks <= MOST_BLOCKS:
+        raise ValueError(f"a step takes 1 to {blocks} blocks of at most {MOST_BLOCKS}")
+    core = loss.core if isinstance(loss, L2) else loss
+    named = block.cast("int").alias("__block")
+    values = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in dict.fromkeys([*x, y])]
+    rows = df.select(named, *values).dropna().filter(F.col("__block").between(0, blocks - 1))
+    if isinstance(core, Mse):
+        stats = gather(rows, x, y, "__block")
+        sizes = {b: s.n for b, s in stats.items()}
+        raw = {b: s.raw() for b, s in stats.items()}
+
+        def sums(drawn: Sequence[int], w: np.ndarray) -> dict[int, np.ndarray]:
+            return {b: 2 * (raw[b][:-1, :-1] @ w - raw[b][:-1, -1]) for b in drawn if b in raw}
+    else:
+        rows = materialise(rows.hint("rebalance", "__block"), by="__block")
+        sizes = {b: n for b, n in rows.groupBy("__block").count().collect()}
+
+        def sums(drawn: Sequence[int], w: np.ndarray) -> dict[int, np.ndarray]:
+            slope = core.slope(dot(x, w) - F.col(y))
+            asked = rows.filter(F.col("__block").isin([int(b) for b in drawn]))
+            found = asked.groupBy("__block").agg(*[F.sum(slope * F.col(c)) for c in x])
+            return {r[0]: np.array(r[1:], dtype=float) for r in found.collect()}
+
+    n = sum(sizes.values())
+    if not n:
+        raise ValueError("no rows to fit on")
+    memory, total, path = np.zeros((blocks, len(x))), np.zeros(len(x)), [np.zeros(len(x))]
+    for it in range(max_iter):
+        w = path[-1]
+        for b, fresh in sums(drawn_blocks(seed, it, blocks, per_step), w).items():
+            if isinstance(loss, L2):
+                fresh = fresh + sizes[b] * loss.penalty_slope(w)
+            total += fresh - memory[b]
+            memory[b] = fresh
+        delta = -lr(it) * total / n
+        path.append(w + delta)
+        if np.isnan(delta).any() or float(np.sum(delta**2)) < tolerance:
+            break
+    if isinstance(core, Mse):
+        whole = stats.pop(next(iter(stats)))
+        for s in stats.values():
+            whole = whole + s
+        full = _gram_loss(whole, loss)
+        losses = [full(w)[0] for w in path]
+    else:
+        losses = losses_at(rows, loss, x, y, path)
+    return LinearModel(tuple(x), path[-1], 0.0, tuple(losses))
+
+
+def drawn_blocks(seed: int, it: int, blocks: int, per_step: int) -> list[int]:
+    """Blocks of a step: consecutive stretches of a new order for every round through all of them."""
+    out = []
+    for place in range(it * per_step, (it + 1) * per_step):
+        out.append(int(np.random.default_rng((seed, place // blocks)).permutation(blocks)[place % blocks]))
+    return list(dict.fromkeys(out))

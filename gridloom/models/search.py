@@ -11,11 +11,15 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.models.linear import LinearModel, solve_lasso, solve_ridge
+from gridloom.models.linear import LinearModel, lasso_path, solve_ridge
 from gridloom.models.splits import kfold_table
 from gridloom.models.statistics import Stats, gather
 
-SOLVERS = {"ridge": solve_ridge, "lasso": solve_lasso}
+#: Weights and intercept for each of several penalties.
+SOLVERS = {
+    "ridge": lambda stats, alphas: [solve_ridge(stats, a) for a in alphas],
+    "lasso": lambda stats, alphas: [(f.weights, f.intercept) for f in lasso_path(stats, alphas)],
+}
 
 
 @dataclass(frozen=True)
@@ -51,7 +55,8 @@ def grid_search(
     """Penalty with the smallest mean RMSE over k contiguous folds, refitted on all rows.
 
     Train statistics are the total minus the fold's own, and the error on a fold
-    follows from its statistics, so alphas x folds fits cost no further pass.
+    follows from its statistics, so alphas x folds fits cost no further pass. Lasso
+    fits of a fold start from one another, from the greatest penalty down.
     """
     solve = SOLVERS[estimator]
     folds = fold_statistics(df, x, y, k, order)
@@ -59,10 +64,10 @@ def grid_search(
     for f in folds[1:]:
         whole = whole + f
     scores = np.array([
-        [math.sqrt(f.squared_error(*solve(whole - f, a)) / f.n) for f in folds] for a in alphas
-    ])
+        [math.sqrt(f.squared_error(*model) / f.n) for model in solve(whole - f, alphas)] for f in folds
+    ]).T
     best = float(alphas[int(np.argmin(scores.mean(axis=1)))])
-    return GridResult(tuple(map(float, alphas)), scores, best, LinearModel(tuple(x), *solve(whole, best)))
+    return GridResult(tuple(map(float, alphas)), scores, best, LinearModel(tuple(x), *solve(whole, [best])[0]))
 
 
 def kfold_scores(

@@ -643,6 +643,34 @@ def _(t: Tables) -> DataFrame:
     return _improvement(t, model)
 
 
+_SAG_BLOCKS, _SAG_STEPS, _SAG_SEED = 4, 6, 11
+
+
+def _block_sag_sql() -> str:
+    """The steps of ``ml16_block_sag`` over sums a, b and n of each block; a slope sum is remembered until its block is drawn again."""
+    sums = ", ".join(
+        f"sum(quantity * quantity) FILTER (orderkey % {_SAG_BLOCKS} = {b}) AS a{b}, sum(quantity * y / 1000) FILTER (orderkey % {_SAG_BLOCKS} = {b}) AS b{b}"
+        for b in range(_SAG_BLOCKS)
+    )
+    ones = "avg(quantity * quantity) AS a, avg(quantity * y / 1000) AS b, avg(y * y / 1000000) AS k, count(*) AS n"
+    ctes, known = [f"s0 AS (SELECT {sums}, {ones}, 0.0::DOUBLE AS w0 FROM house)"], {}
+    for i in range(_SAG_STEPS):
+        known |= {b: f"2 * (a{b} * w{i} - b{b})" for b in linear.drawn_blocks(_SAG_SEED, i, _SAG_BLOCKS, 1)}
+        ctes.append(f"s{i + 1} AS (SELECT *, w{i} - 0.0003 * ({' + '.join(known.values())}) / n AS w{i + 1} FROM s{i})")
+    names = ["'w_quantity'"] + [f"'loss_{i}'" for i in range(_SAG_STEPS + 1)]
+    values = [f"round(w{_SAG_STEPS}, 5)"] + [f"round(k - 2 * b * w{i} + a * w{i} * w{i}, 5)" for i in range(_SAG_STEPS + 1)]
+    return f"WITH {', '.join(ctes)} SELECT unnest([{', '.join(names)}]) AS name, unnest([{', '.join(values)}]) AS value FROM s{_SAG_STEPS}"
+
+
+@query("ml16_block_sag", _block_sag_sql())
+def _(t: Tables) -> DataFrame:
+    model = linear.fit_block_sag(
+        _thousands(t), ["quantity"], "y", F.col("orderkey") % _SAG_BLOCKS, _SAG_BLOCKS, lr=linear.ConstantLR(0.0003),
+        max_iter=_SAG_STEPS, tolerance=0.0, seed=_SAG_SEED,
+    )
+    return _fitted(t, model)
+
+
 def _improvement(t: Tables, model: linear.LinearModel) -> DataFrame:
     h = model.loss_history
     row = (round(h[0], 5) + 0.0, bool(h[-1] < h[0]), len(h))
@@ -714,6 +742,23 @@ def _(t: Tables) -> DataFrame:
     return found.table(t.spark).withColumn("rmse", r("rmse"))
 
 
+@query(
+    "ml21_lasso_scores",
+    """WITH x AS (SELECT o_orderkey AS k, CAST(o_custkey AS DOUBLE) AS x, o_totalprice / 1000 AS y,
+            row_number() OVER (ORDER BY o_orderkey) - 1 AS rw, count(*) OVER () AS n FROM orders),
+    f AS (SELECT *, CASE WHEN rw < (n % 5) * (n // 5 + 1) THEN rw // (n // 5 + 1) ELSE (rw - n % 5) // (n // 5) END AS fold FROM x),
+    al AS (SELECT unnest([1000000.0, 0.01, 20.0]) AS alpha), fs AS (SELECT unnest(range(5)) AS fold),
+    w AS (SELECT alpha, fs.fold AS fold, sign(covar_pop(y, x)) * greatest(abs(covar_pop(y, x)) - alpha, 0) / var_pop(x) AS w, avg(x) AS mx, avg(y) AS my
+          FROM f, al, fs WHERE f.fold <> fs.fold GROUP BY alpha, fs.fold)
+    SELECT alpha::DOUBLE AS alpha, CAST(f.fold AS INTEGER) AS fold, round(sqrt(avg(pow(y - (my + w * (x - mx)), 2))), 6) AS rmse
+    FROM f JOIN w USING (fold) GROUP BY alpha, f.fold""",
+)
+def _(t: Tables) -> DataFrame:
+    x = t.orders.select("o_orderkey", F.col("o_custkey").cast("double").alias("x"), (F.col("o_totalprice") / 1000).alias("y"))
+    found = search.grid_search(x, ["x"], "y", [1e6, 0.01, 20.0], 5, ["o_orderkey"], "lasso")
+    return found.table(t.spark).withColumn("rmse", r("rmse"))
+
+
 @query("ml21_grid_search_lasso", "SELECT true AS best_is_least, CAST(25 AS BIGINT) AS n_fits, true AS some_zero FROM (SELECT count(*) FROM house)")
 def _(t: Tables) -> DataFrame:
     found = search.grid_search(

@@ -40,14 +40,16 @@ def scratch_path(spark: SparkSession, name: str = "table") -> str:
     return path
 
 
-def materialise(df: DataFrame, schema: StructType | None = None) -> DataFrame:
+def materialise(df: DataFrame, schema: StructType | None = None, by: str | None = None) -> DataFrame:
     """Write ``df`` once to the scratch area and return a reader of that copy, under ``schema`` if given.
 
+    Each value of ``by`` gets a folder of its own, so a filter on it reads no other.
+
     The size of the copy is known from its files, so a small fitted table joins
     by broadcast straight away, and a large one does not.
     """
     path = scratch_path(df.sparkSession)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 

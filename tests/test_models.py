@@ -125,6 +125,63 @@ def test_stochastic_methods_equal_numpy_and_leave_out_gaps(spark, monkeypatch):
         linear.fit_sag(df.filter("id > 29"), ["a", "b"], "y", ["id"], batch_size=4)
 
 
+def test_lasso_path_starts_from_the_fit_before(spark):
+    rng = np.random.default_rng(5)
+    mixed = rng.normal(size=(400, 12)) @ rng.normal(size=(12, 12)) + 0.3 * rng.normal(size=(400, 1))
+    target = mixed[:, 0] - 2 * mixed[:, 3] + 0.1 * rng.normal(size=400)
+    z = np.column_stack([mixed, mixed[:, 0] * 0 + 4.0])  # the last column is constant
+    names = [f"c{i}" for i in range(13)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in np.column_stack([z, target])], ", ".join(f"{c} double" for c in [*names, "y"]))
+    stats = linear.gather(df, names, "y")[None]
+    alphas = [float(a) for a in np.logspace(-3, 1, 15)]
+    path = linear.lasso_path(stats, alphas)
+    alone = [linear.lasso_path(stats, [a])[0] for a in alphas]
+    zc, yc = z - z.mean(axis=0), target - target.mean()
+    for fit, one, alpha in zip(path, alone, alphas):
+        assert fit.alpha == alpha and np.allclose(fit.weights, one.weights, atol=1e-6) and np.isclose(fit.intercept, one.intercept)
+        slope = zc.T @ (yc - zc @ fit.weights) / 400
+        kept = fit.weights != 0
+        assert np.allclose(slope[kept], alpha * np.sign(fit.weights[kept]), atol=1e-6) and (np.abs(slope[~kept]) <= alpha + 1e-6).all()
+    assert sum(f.rounds for f in path) < sum(f.rounds for f in alone)
+    assert path[0].weights[12] == 0 and linear.lasso_path(stats, [1e9])[0].rounds == 1
+    assert linear.lasso_path(stats, []) == []
+
+
+@pytest.mark.parametrize("loss", [linear.Mse(), linear.L2(linear.Mse(), 0.2), linear.LogCosh(), linear.L2(linear.Huber(0.7), 0.1)])
+def test_block_sag_equals_numpy(spark, loss):
+    rng = np.random.default_rng(2)
+    x, y, blocks = rng.normal(size=(60, 2)), rng.normal(size=60), 5
+    dealt = np.array([i % 4 if i % 7 else 4 for i in range(60)])
+    rows = [(int(b), float(p), float(q), float(t)) for b, (p, q), t in zip(dealt, x, y)]
+    gaps = [(0, None, 1.0, 1.0), (1, 1.0, float("nan"), 1.0), (None, 1.0, 1.0, 1.0), (9, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows + gaps, "b int, p double, q double, y double")
+    core = loss.core if isinstance(loss, linear.L2) else loss
+    extra = loss.penalty_slope if isinstance(loss, linear.L2) else np.zeros_like
+    path, memory = [np.zeros(2)], np.zeros((blocks, 2))
+    for it in range(7):
+        w = path[-1]
+        for b in linear.drawn_blocks(3, it, blocks, 2):
+            at = dealt == b
+            memory[b] = (core.slope_of(x[at] @ w - y[at])[:, None] * x[at] + extra(w)).sum(axis=0)
+        path.append(w - 0.1 * memory.sum(axis=0) / 60)
+    options = {"lr": linear.ConstantLR(0.1), "per_step": 2, "max_iter": 7, "tolerance": 0.0, "seed": 3}
+    model = linear.fit_block_sag(df, ["p", "q"], "y", F.col("b"), blocks, loss, **options)
+    assert np.allclose(model.weights, path[-1]) and len(model.loss_history) == 8
+    assert model.loss_history[-1] == pytest.approx(linear.evaluate(df.filter("b < 5").dropna(), loss, ["p", "q"], "y", path[-1])[0])
+    whole = linear.fit_block_sag(df.filter("b < 5"), ["p", "q"], "y", F.col("b"), blocks, loss, **(options | {"per_step": blocks}))
+    assert np.allclose(whole.weights, linear.fit_gd(df.filter("b < 5").dropna(), ["p", "q"], "y", loss, linear.ConstantLR(0.1), max_iter=7, tolerance=0.0).weights)
+    with pytest.raises(ValueError):
+        linear.fit_block_sag(df, ["p", "q"], "y", F.col("b"), blocks, loss, per_step=6)
+    with pytest.raises(ValueError):
+        linear.fit_block_sag(df.filter("b > 5"), ["p", "q"], "y", F.col("b"), blocks, loss)
+
+
+def test_every_block_is_drawn_once_a_round():
+    for per_step in (1, 2, 3):
+        drawn = [b for it in range(6) for b in linear.drawn_blocks(1, it, 6, per_step)]
+        assert len(drawn) == 6 * per_step and all(sorted(drawn[i : i + 6]) == list(range(6)) for i in range(0, len(drawn), 6))
+
+
 def test_step_sizes():
     assert linear.ConstantLR(0.3)(9) == 0.3
     assert linear.TimeDecayLR(2.0)(3) == pytest.approx(1.0)
