@@ -111,4 +111,49 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled
 """
 
-SQL = {"op4_preferences": _PREFERENCES, "op11_hard_negatives": _HARD_NEGATIVES, "op12_periodic_runs": _PERIODIC_RUNS, "op13_url_rules": _URL_RULES}
+def _divided(name: str, nodes: str, parent: str, child: str) -> str:
+    """CTEs that end in ``name``: the nodes (parent columns, child, supply, weight, budget) with what each of them gets."""
+    family = f"PARTITION BY {parent}" if parent else ""
+    order = f"{family} ORDER BY supply / weight, {child}"
+    return f"""
+{name}_open AS (
+    SELECT *, supply * sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+        <= (budget - coalesce(sum(supply) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * weight AS satisfied
+    FROM ({nodes})
+), {name}_share AS (
+    SELECT *, CASE WHEN satisfied THEN supply ELSE
+        (budget - coalesce(sum(supply) FILTER (satisfied) OVER ({family}), 0)) * weight // sum(weight) FILTER (NOT satisfied) OVER ({family}) END AS share
+    FROM {name}_open
+), {name} AS (
+    SELECT *, share + CASE WHEN share < supply
+        AND count(*) FILTER (share < supply) OVER ({order} ROWS UNBOUNDED PRECEDING) <= budget - sum(share) OVER ({family}) THEN 1 ELSE 0 END AS got
+    FROM {name}_share
+)"""
+
+
+_MIXING = f"""
+WITH docs AS (
+    SELECT doc_id, CASE WHEN number = '' THEN 'other' ELSE 'd' || number::INTEGER // 5 END AS domain, language, source, n_tokens
+    FROM (SELECT doc_id, coalesce(lang, '') AS language, coalesce(source, '') AS source, regexp_extract(coalesce(source, ''), '^src([0-9]{{1,9}})$', 1) AS number,
+        len(list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS n_tokens FROM documents)
+), leaves AS (
+    SELECT domain, language, source, sum(n_tokens)::BIGINT AS tokens, 2 * sum(n_tokens)::BIGINT AS supply,
+        CASE domain WHEN 'd0' THEN 4 WHEN 'd1' THEN 3 WHEN 'd2' THEN 2 WHEN 'd3' THEN 2 ELSE 1 END AS w_domain,
+        CASE language WHEN 'en' THEN 6 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END AS w_language
+    FROM docs GROUP BY ALL
+),{_divided("domains", "SELECT domain, sum(supply)::BIGINT AS supply, max(w_domain) AS weight, (SELECT sum(n_tokens) * 90 // 100 FROM docs) AS budget FROM leaves GROUP BY domain", "", "domain")},
+{_divided("languages", "SELECT l.domain, language, sum(l.supply)::BIGINT AS supply, max(w_language) AS weight, got AS budget FROM leaves l JOIN domains d ON l.domain = d.domain GROUP BY l.domain, language, got", "domain", "language")},
+{_divided("sources", "SELECT l.domain, l.language, source, l.supply, 1 AS weight, got AS budget FROM leaves l JOIN languages d ON l.domain = d.domain AND l.language = d.language", "domain, language", "source")},
+given AS (
+    SELECT domain, language, source, got, CASE WHEN tokens > 0 THEN got // tokens ELSE 0 END::BIGINT AS whole FROM sources JOIN leaves USING (domain, language, source)
+), placed AS (
+    SELECT d.*, got, whole, coalesce(sum(n_tokens) OVER (PARTITION BY domain, language, source
+        ORDER BY md5('11:' || whole || ':' || coalesce(doc_id::VARCHAR, '')), doc_id, n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+        sum(n_tokens) OVER (PARTITION BY domain, language, source) AS tokens
+    FROM docs d JOIN given USING (domain, language, source)
+)
+SELECT doc_id, domain, language, source, n_tokens, unnest(range(whole + CASE WHEN start < got - whole * tokens THEN 1 ELSE 0 END))::BIGINT AS epoch, got::BIGINT AS budget
+FROM placed
+"""
+
+SQL = {"op4_preferences": _PREFERENCES, "op6_mixing": _MIXING, "op11_hard_negatives": _HARD_NEGATIVES, "op12_periodic_runs": _PERIODIC_RUNS, "op13_url_rules": _URL_RULES}
