@@ -3,7 +3,8 @@
 A logistic classifier on text statistics gives each document evidence: its
 probability of being good. Sites have two levels, hosts and paths of a host.
 With m the global mean, a host's mean is shrunk towards m and a path's towards
-its host, each with a strength that the variance between hosts (paths) implies:
+its host, each with the strength (in rows) that the variances inside hosts (paths)
+and between them imply:
 
     host = (s0 * m + sum of p) / (s0 + n),  path = (s1 * host + sum of p) / (s1 + n)
 
@@ -153,14 +154,22 @@ def evidence(documents: DataFrame, w: np.ndarray, carry: list[str]) -> tuple[Dat
     return documents.select(*needed).mapInArrow(judge, schema), name
 
 
-def _strength(sites: DataFrame, centre: Column, total: Column, n: Column) -> float:
-    """Prior rows implied by how far the sites' means lie from their centres, beyond what n rows explain."""
+def _strength(sites: DataFrame, centre: Column, total: Column, n: Column, squares: Column | None = None) -> float:
+    """Prior rows: the variance of p inside sites over that of the sites' means around their centres.
+
+    Of the spread of the means, what n rows of the inner variance explain is taken
+    off. Without ``squares``, the sums of p * p, p is 0 or 1.
+    """
     mean = total / n
-    noise = centre * (1 - centre) / n
-    r = sites.filter(n > 1).agg(F.avg((mean - centre) ** 2 - noise).alias("between"), F.avg(centre * (1 - centre)).alias("spread")).first()
-    if r["between"] is None or r["between"] <= 0:
+    squares = total if squares is None else squares
+    r = sites.filter(n > 1).agg(
+        F.sum(squares - total * mean).alias("inside"), F.sum(n - 1).alias("free"), F.avg((mean - centre) ** 2).alias("apart"), F.avg(1 / n).alias("each")
+    ).first()
+    if not r["free"]:
         return 1e6
-    return float(min(1e6, max(1.0, r["spread"] / r["between"] - 1)))
+    within = max(0.0, r["inside"] / r["free"])
+    between = r["apart"] - within * r["each"]
+    return 1e6 if between <= 0 else float(min(1e6, max(1.0, within / between)))
 
 
 def _logit(p: Column) -> Column:
@@ -178,15 +187,15 @@ def site_quality(
     judged, p_name = evidence(sited, w, [*carry, "__host", "__path"])
     judged = materialise(judged)
     p = F.col(p_name)
-    paths = materialise(judged.groupBy("__host", "__path").agg(F.sum(p).alias("path_sum"), F.count("*").alias("path_n")))
-    hosts = materialise(paths.groupBy("__host").agg(F.sum("path_sum").alias("host_sum"), F.sum("path_n").alias("host_n")))
+    paths = materialise(judged.groupBy("__host", "__path").agg(F.sum(p).alias("path_sum"), F.sum(p * p).alias("path_squares"), F.count("*").alias("path_n")))
+    hosts = materialise(paths.groupBy("__host").agg(*[F.sum(f"path_{c}").alias(f"host_{c}") for c in ("sum", "squares", "n")]))
     whole = hosts.agg((F.sum("host_sum") / F.sum("host_n")).alias("m")).first()["m"]
     m = 0.5 if whole is None else float(whole)
-    s0 = _strength(hosts, F.lit(m), F.col("host_sum"), F.col("host_n"))
+    s0 = _strength(hosts, F.lit(m), F.col("host_sum"), F.col("host_n"), F.col("host_squares"))
     host_mean = (F.lit(s0 * m) + F.col("host_sum")) / (F.lit(s0) + F.col("host_n"))
     h, q = hosts.alias("h"), paths.alias("q")
     both = materialise(q.join(h, F.col("q.__host").eqNullSafe(F.col("h.__host"))).select("q.*", "host_sum", "host_n"))
-    s1 = _strength(both, host_mean, F.col("path_sum"), F.col("path_n"))
+    s1 = _strength(both, host_mean, F.col("path_sum"), F.col("path_n"), F.col("path_squares"))
     sites = both.select(F.col("__host").alias("site_host"), F.col("__path").alias("site_path"), "path_sum", "path_n", "host_sum", "host_n")
     on = F.col("__host").eqNullSafe(F.col("site_host")) & F.col("__path").eqNullSafe(F.col("site_path"))
     without = judged.join(sites, on)

@@ -180,6 +180,61 @@ def test_sparse_sites_shrink(spark):
     assert 1 <= strength < 10
 
 
+def test_posteriors_against_plain_sums(spark, sample, labels):
+    host = F.when(F.col("doc_id") % 9 == 0, F.concat(F.lit("lone"), "doc_id")).otherwise(F.when(F.col("doc_id") % 3 > 0, "big").otherwise(F.col("source")))
+    result, name = site_quality.site_quality(sample, labels, host, F.when(F.col("doc_id") % 5 > 0, (F.col("doc_id") % 7).cast("string")), ["doc_id"])
+    rows = [r.asDict() for r in result.select(f"{name}.*").collect()]
+
+    def groups(*by):
+        out = {}
+        for r in rows:
+            out.setdefault(tuple(r[b] for b in by), []).append(r["evidence"])
+        return out
+
+    def strength(sites, centre):
+        some = {k: np.array(v) for k, v in sites.items() if len(v) > 1}
+        within = sum(((v - v.mean()) ** 2).sum() for v in some.values()) / sum(len(v) - 1 for v in some.values())
+        between = np.mean([(v.mean() - centre(k)) ** 2 - within / len(v) for k, v in some.items()])
+        return 1e6 if between <= 0 else min(1e6, max(1.0, within / between))
+
+    hosts, paths = groups("host"), groups("host", "path")
+    m = np.mean([r["evidence"] for r in rows])
+    s0 = strength(hosts, lambda _: m)
+    centre = {k: (s0 * m + sum(v)) / (s0 + len(v)) for k, v in hosts.items()}
+    s1 = strength(paths, lambda k: centre[k[:1]])
+    assert min(map(len, hosts.values())) == 1 and max(map(len, hosts.values())) > 80
+    logit = lambda x: np.log(np.clip(x, 1e-6, 1 - 1e-6) / (1 - np.clip(x, 1e-6, 1 - 1e-6)))
+    for r in rows:
+        e, h, q = r["evidence"], hosts[(r["host"],)], paths[(r["host"], r["path"])]
+        host_mean = (s0 * m + sum(h) - e) / (s0 + len(h) - 1)
+        path_mean = (s1 * host_mean + sum(q) - e) / (s1 + len(q) - 1)
+        odds = logit(e) + logit(path_mean) - logit(m)
+        assert r["host_mean"] == pytest.approx(host_mean) and r["path_mean"] == pytest.approx(path_mean)
+        assert r["quality"] == pytest.approx(1 / (1 + np.exp(-odds))) and r["keep"] == (r["quality"] >= 0.5)
+
+
+def test_severity_against_the_definition(spark, edges, sample):
+    terms = ("the", "river*", "ver", "stone", "é" * 5 + "*", "é" * 7 + "*")
+    model = toxicity.OrdinalModel(terms, np.array([0.4, 1.5, -0.7, 0.9, 0.2, -0.1]), np.array([0.5, 2.0, 2.5]))
+    docs = edges.select("doc_id", "text").union(sample.select("doc_id", "text"))
+
+    def plain(text):
+        words = re.findall(r"[^\W_]+", (text or "").lower())
+        eta = 0.0
+        for term, weight in zip(terms, model.weights):
+            n = sum(w == term or term[-1] == "*" and len(term) - 1 in (5, 7) and w.startswith(term[:-1]) and len(w) >= len(term) - 1 for w in words)
+            eta += weight * np.log1p(100 * n / len(words)) if n else 0.0
+        # one threshold for each grade; P(grade > j) is the share beyond it
+        above = [1 - 1 / (1 + np.exp(-(t - eta))) for t in model.thresholds]
+        return sum(above), above[0]
+
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    got = sorted(((r.doc_id, r.expected_severity, r.p_toxic) for r in toxicity.score_toxicity(docs, model).collect()), key=key)
+    want = sorted(((r.doc_id, *plain(r.text)) for r in docs.collect()), key=key)
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert np.allclose([g[1:] for g in got], [w[1:] for w in want])
+
+
 # -- tokens
 
 def test_tokens_against_offsets(sample):
