@@ -229,9 +229,10 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     docs = t.documents.select("doc_id", "text").repartition("doc_id")  # one supplied file, many task slots
-    weights = tfidf.tfidf(
-        docs.filter(F.col("doc_id") % 4 != 0), docs, "doc_id", "text", max_features=1500, min_df=5, max_df=0.5
-    )
+    # The fitting texts are among those to weigh: all are cleaned and written once.
+    words = materialise(docs.select("doc_id", tfidf.clean_words("text").alias("words")))
+    model = tfidf.TfIdf.fit(words.filter(F.col("doc_id") % 4 != 0), "doc_id", "words", max_features=1500, min_df=5, max_df=0.5)
+    weights = model.transform(words, "doc_id", "words")
     return weights.select("doc_id", "term", r("weight").alias("weight"))
 
 
