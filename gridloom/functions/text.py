@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.sources.scratch import materialise
 
 # The separator between messages and the patterns of the cleaning
 # rules. Letters are basic Latin and Cyrillic a-ya without yo; words are any
@@ -63,26 +65,43 @@ def lemmatise(
     """Replace tokens through a (token, lemma) table, keeping their order.
 
     A row sends each of its distinct tokens once and gets the lemmas of those it has any for back,
-    as a map no larger than its own tokens. A token that most rows hold is spread: its
+    as a list no longer than its own tokens. A token that most rows hold is spread: its
     rows are dealt to ``salts`` parts, and the dictionary has a copy for each part.
     Keys must be unique; a null key's tokens stay as they are; rows without tokens get an empty list; of
     several lemmas of a token the first in order counts.
     """
     lemmas = dictionary.groupBy("token").agg(F.min("lemma").alias("lemma")).filter("token IS NOT NULL AND lemma IS NOT NULL")
+    # Written, its size is known: tokens are shuffled only where the dictionary is too large to go to them.
+    lemmas = materialise(lemmas)
     copies = lemmas.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     found = salted_tokens(df, key, col, salts).join(copies, ["token", "__salt"])
-    maps = found.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("__lemmas"))
+    pairs = found.groupBy(key).agg(F.collect_list(F.struct("token", "lemma")).alias("__pairs"))
     tokens = F.coalesce(F.col(col), F.array().cast("array<string>"))
-    known = F.coalesce("__lemmas", F.create_map().cast("map<string,string>"))
-    replaced = F.transform(tokens, lambda t: F.coalesce(F.element_at(known, t), t))
-    return df.join(maps, key, "left").withColumn(out, replaced).drop("__lemmas")
+    replaced = F.when(F.col("__pairs").isNull(), tokens).otherwise(_replaced()(col, "__pairs.token", "__pairs.lemma"))
+    return df.join(pairs, key, "left").withColumn(out, replaced).drop("__pairs")
+
+
+def _replaced():
+    """A row's tokens with the lemmas of some of them: hashed once a row, where a map column would be searched for every token."""
+
+    @F.pandas_udf("array<string>")
+    def replaced(tokens: pd.Series, known: pd.Series, lemmas: pd.Series) -> pd.Series:
+        def of(words, token, lemma) -> list | None:
+            if words is None or token is None:
+                return None
+            found = dict(zip(token, lemma, strict=True))
+            return [found.get(t, t) for t in words]
+
+        return pd.Series([of(*row) for row in zip(tokens, known, lemmas, strict=True)], dtype=object)
+
+    return replaced
 
 
 def preprocess_with_lemmas(
     df: DataFrame, key: str, col: str, dictionary: DataFrame, out: str = "lemmas", min_length: int = 3
 ) -> DataFrame:
     """Clean, tokenise, lemmatise, then keep words."""
-    tokenised = df.withColumn("__tokens", raw_tokens(col))
+    tokenised = materialise(df.withColumn("__tokens", raw_tokens(col)))  # read for the join and for the result
     done = lemmatise(tokenised, key, "__tokens", dictionary, out).drop("__tokens")
     return done.withColumn(out, keep_words(out, min_length))
 

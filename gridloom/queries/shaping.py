@@ -212,7 +212,8 @@ _LEMMAS = """SELECT DISTINCT token, left(token, length(token) - 3) AS lemma
     UNION ALL SELECT doc_id, '' FROM dt WHERE len(tk) = 0""",
 )
 def _(t: Tables) -> DataFrame:
-    docs = t.documents.repartition("doc_id").select("doc_id", text.raw_tokens("text").alias("tk"))
+    # The tokens make the dictionary, meet it and hold the result: texts are tokenised and written once.
+    docs = materialise(t.documents.repartition("doc_id").select("doc_id", text.raw_tokens("text").alias("tk")))
     out = text.lemmatise(docs, "doc_id", "tk", _suffix_dictionary(docs))
     return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmas"))
 
