@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridloom.models.linear import LinearModel, fit_ridge
 from gridloom.models.search import grid_search
 from gridloom.operators.encode import QuantileNormal
+from gridloom.sources.scratch import materialise
 
 
 @dataclass(frozen=True)
@@ -48,8 +49,10 @@ def fit_transformed_target(
 
     Without ``alpha`` the penalty is chosen from ``alphas`` over k folds in ``order``.
     """
+    # Quantiles, folds and sums read the rows several times: they are written once, and their scores once.
+    df = materialise(df.select(*dict.fromkeys([*order, *x, y])))
     law = QuantileNormal.fit(df, y, n_quantiles)
-    shaped = df.withColumn("__target", law.forward(y))
+    shaped = materialise(df.withColumn("__target", law.forward(y)))
     if alpha is None:
         model = grid_search(shaped, x, "__target", alphas, k, order).model
     else:

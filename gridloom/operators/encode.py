@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -246,8 +247,8 @@ class QuantileNormal:
     """Maps a column to a normal law through its train quantiles, and back.
 
     Holds ``n`` quantiles, so the model does not grow with the data. Both
-    directions are expressions: a binary search in the sorted quantiles, a straight
-    line between two of them, and the normal law as rational functions. Null and NaN give null.
+    directions are columns: a binary search in the sorted quantiles and a straight
+    line between two of them, and the normal law as rational functions, over batches. Null and NaN give null.
     """
 
     quantiles: tuple[float, ...]
@@ -259,50 +260,55 @@ class QuantileNormal:
         found = column_quantiles(train, [col], probs)[col]
         return QuantileNormal(tuple(float(q) for q in np.maximum.accumulate([found[p] for p in probs])))
 
-    def _count(self, below: Callable[[Column], Column]) -> Column:
-        """How many quantiles are below, where ``below`` holds for a first stretch of them."""
-        n, table = len(self.quantiles), F.array(*[F.lit(q) for q in self.quantiles])
-        steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
-
-        def further(at: Column, step: Column) -> Column:
-            return F.when((at + step <= n) & below(F.get(table, at + step - 1)), at + step).otherwise(at)
-
-        return F.aggregate(steps, F.lit(0), further)
+    def _share(self, v: np.ndarray) -> np.ndarray:
+        q = np.array(self.quantiles)
+        last = len(q) - 1
+        under, upto = np.searchsorted(q, v, "left"), np.searchsorted(q, v, "right")
+        low, high = q[np.clip(under - 1, 0, last)], q[np.minimum(under, last)]
+        between = under - 1 + (v - low) / np.where(high > low, high - low, 1.0)
+        inside = np.where(upto > under, (under + upto - 1) / 2.0, between) / last
+        found = np.where(v - _EDGE < q[0], 0.0, np.where(v + _EDGE > q[last], 1.0, inside))
+        return np.where(np.isnan(v), np.nan, found)
+
+    def _score(self, v: np.ndarray) -> np.ndarray:
+        """The steps of ``normal_ppf`` over the shares of a batch."""
+        p = np.clip(self._share(v), _EDGE, 1 - _EDGE)
+        near, q = np.minimum(p, 1 - p), p - 0.5
+        t, r = np.sqrt(-2 * np.log(near)), q * q
+        tail = np.polyval(_C, t) / np.polyval(_D, t)
+        return np.where(near < _TAIL, np.where(p < 0.5, tail, -tail), np.polyval(_A, r) * q / np.polyval(_B, r))
+
+    def _value(self, z: np.ndarray) -> np.ndarray:
+        """Train values of normal scores, by the steps of ``normal_cdf``."""
+        q = np.array(self.quantiles)
+        last, size = len(q) - 1, np.minimum(np.abs(z), _FAR)
+        tail = np.exp(-z * z / 2) * np.polyval(_HART_P, size) / np.polyval(_HART_Q, size)
+        tail = np.where(np.abs(z) < _FAR, tail, 0.0)
+        p = np.where(z > 0, 1 - tail, tail)
+        at = np.clip(np.floor(p * last), 0, last - 1).astype(np.int64)
+        line = q[at] + (p * last - at) * (q[at + 1] - q[at])
+        found = np.where(p <= _EDGE * 1.01, q[0], np.where(p >= 1 - _EDGE * 1.01, q[last], line))
+        return np.where(np.isnan(z), np.nan, found)
 
     def share(self, x: Column) -> Column:
         """Share of the train values up to x, in the middle of equal ones."""
-        q, last = self.quantiles, len(self.quantiles) - 1
-        table = F.array(*[F.lit(v) for v in q])
-
-        def of(x: Column) -> Column:
-            counts = F.struct(self._count(lambda v: v < x).alias("under"), self._count(lambda v: v <= x).alias("upto"))
-
-            def place(c: Column) -> Column:
-                low, high = F.get(table, c["under"] - 1), F.get(table, c["under"])
-                between = c["under"] - 1 + (x - low) / (high - low)
-                return F.when(c["upto"] > c["under"], (c["under"] + c["upto"] - 1) / F.lit(2.0)).otherwise(between) / F.lit(float(last))
-
-            inside = let(counts, place)
-            return F.when(x - _EDGE < q[0], 0.0).when(x + _EDGE > q[last], 1.0).otherwise(inside)
-
-        return let(x, of)
+        return _over_batches(self._share)(x)
 
     def forward(self, col: str | Column) -> Column:
-        x = (F.col(col) if isinstance(col, str) else col).cast("double")
-        return F.when(x.isNotNull() & ~F.isnan(x), normal_ppf(self.share(x)))
+        return _over_batches(self._score)((F.col(col) if isinstance(col, str) else col).cast("double"))
 
     def inverse(self, col: str | Column) -> Column:
-        z = (F.col(col) if isinstance(col, str) else col).cast("double")
-        q, last = self.quantiles, len(self.quantiles) - 1
-        table = F.array(*[F.lit(v) for v in q])
+        return _over_batches(self._value)((F.col(col) if isinstance(col, str) else col).cast("double"))
+
+
+def _over_batches(function: Callable[[np.ndarray], np.ndarray]):
+    """A function of numbers as a column function; null is NaN inside, and NaN comes back as null."""
 
-        def of(p: Column) -> Column:
-            at = F.least(F.floor(p * last), F.lit(last - 1)).cast("int")
-            low, high = F.get(table, at), F.get(table, at + 1)
-            line = low + (p * last - at) * (high - low)
-            return F.when(p <= _EDGE * 1.01, q[0]).when(p >= 1 - _EDGE * 1.01, q[last]).otherwise(line)
+    @F.pandas_udf("double")
+    def of(x: pd.Series) -> pd.Series:
+        return pd.Series(function(x.to_numpy(np.float64, na_value=np.nan)))
 
-        return F.when(z.isNotNull() & ~F.isnan(z), let(normal_cdf(z), of))
+    return of
 
 
 # --- set encoder -------------------------------------------------------------
