@@ -105,14 +105,17 @@ def fit_fill_stats(
 ) -> FillStats:
     """Means by (outer, inner), by outer, and overall (0 when there is none).
 
-    The tables are written, so that applying them does not fit them again.
+    One pass: the sums of the inner groups, written, add up to the others. The
+    tables are written, so that applying them does not fit them again.
     """
-    x = F.avg(F.col(value).try_cast("double"))
-    overall = df.agg(x).first()[0]
+    x = F.col(value).try_cast("double")
+    sums = materialise(df.groupBy(outer, inner).agg(F.sum(x).alias("__sum"), F.count(x).alias("__n")))
+    x = F.try_divide(F.sum("__sum"), F.sum("__n"))
+    overall = sums.agg(x).first()[0]
     finite = overall is not None and overall == overall and abs(overall) != float("inf")
     return FillStats(
-        materialise(df.groupBy(outer, inner).agg(x.alias("__group_mean"))),
-        materialise(df.groupBy(outer).agg(x.alias("__region_mean"))),
+        materialise(sums.groupBy(outer, inner).agg(x.alias("__group_mean"))),
+        materialise(sums.groupBy(outer).agg(x.alias("__region_mean"))),
         float(overall) if finite else 0.0,
     )
 

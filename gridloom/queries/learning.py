@@ -174,6 +174,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     train, other = _parts(t)
+    train = materialise(train)  # every estimator reads it anew
     unfitted = stages.make_preprocessor(["region"], ["month"], ["avg_mmr", "mmr_missing"], "radiant_win", mode="raw")
     path = scratch_path(t.spark, "preprocessor")
     sinks.save(unfitted.fit(train), path)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import text
 from gridloom.operators import tfidf
+from gridloom.operators.clean import fit_fill_stats
 from gridloom.operators.encode import QuantileNormal
 from gridloom.plans.features import FeatureConfig, TextOptions, build_feature_tables
 
@@ -59,3 +60,21 @@ def test_normal_scores_are_looked_up_by_batches(spark):
     assert [r.share for r in rows] == pytest.approx([0, 0, 1 / 6, 0.5, 5 / 6, 1, 1, None, None], abs=1e-12)
     assert [r.back for r in rows[1:6]] == pytest.approx([1, 1.5, 2, 3.5, 5], abs=1e-5)
     assert rows[0].back == 1 and rows[6].back == 5 and rows[7].z is rows[8].z is rows[8].back is None
+
+
+def test_fill_means_take_one_pass(spark):
+    rows = [("a", "x", 1.0), ("a", "x", 2.0), ("a", "y", None), ("a", "z", 6.0), (None, "x", 5.0), ("b", None, None)]
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(rows, "region string, game_mode string, avg_mmr double").mapInArrow(seen, "region string, game_mode string, avg_mmr double")
+    stats = fit_fill_stats(df)
+    assert read.value == len(rows)
+    assert stats.global_mean == 3.5
+    assert {r.region: r[1] for r in stats.region_means.collect()} == {"a": 3.0, None: 5.0, "b": None}
+    groups = {(r.region, r.game_mode): r[2] for r in stats.group_means.collect()}
+    assert groups == {("a", "x"): 1.5, ("a", "y"): None, ("a", "z"): 6.0, (None, "x"): 5.0, ("b", None): None}
