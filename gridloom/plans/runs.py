@@ -171,6 +171,8 @@ class Run:
         use_heroes = self.selection.use_heroes
         if not use_tabular and not use_heroes and not cfg.of("text"):
             raise ValueError("at least one feature block must be on")
+        # Ids, folds, statistics and vectors each read the matches: they are written once.
+        train, test = materialise(train), materialise(test)
         players_train = players_test = None
         if use_heroes:
             if players is None:
