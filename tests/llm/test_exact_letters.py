@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 
+import corpus_pipeline
 from gridloom.llm import quality_rules
 
 WORD = re.compile("[^ \t-\r]+")
@@ -90,3 +91,12 @@ def test_exact_scores_against_brute_force(spark, sample):
         row = [32, 32, *byte_events(r.text)]
         logs = [math.log(p((row[i - 2], row[i - 1]), row[i])) for i in range(2, len(row))]
         assert math.isclose(r[name].exact_score - r[name].score, -sum(logs) / len(logs), rel_tol=1e-4, abs_tol=1e-6)
+
+
+def test_pipeline_stage_drops_the_other_script(spark):
+    rows = [(i, cyrillic(i), "ru", "src1") for i in range(200)] + [(999, in_greek(cyrillic(0)), "ru", "src1")]
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.quality_rules(spark, docs, "")
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert 999 not in ids and len(ids) >= 198
