@@ -4,13 +4,17 @@ The model is an interpolated modified Kneser-Ney model of order 4 over letters a
 word borders; contexts reach across borders, from the end of a word into the next ones. It predicts one of 32
 classes of UTF-8 bytes: Spark counts the n-grams over all distinct texts,
 one group per language turns the counts into probabilities, and the result is
-kept as arrays sorted by a hash of the n-gram, 16 bytes per n-gram that
-occurs and never more than ``MODEL_BYTES`` a language.
+kept as arrays sorted by a hash of the n-gram, 16 bytes per n-gram of classes that
+occurs, never more than ``MODEL_BYTES`` a language, and 12 for each four bytes that occur.
 
 The letters of a class are told apart by a second model: the probability of the byte itself, given its
-class and the two bytes before it as they stand (Witten-Bell back-off to one byte and to none). It holds
-every triple of bytes that occurs; class and byte together are a distribution over all
-texts. No letter, case, digit or script is merged with another: ``exact_score`` is the mean over both.
+class and the two bytes before it as they stand (Witten-Bell back-off to one byte and to none). Class and
+byte together are a distribution over all texts; ``exact_score`` is the mean over both.
+
+Classes still merge what stands before a letter. So a third model, of the same kind and order as the first, is over
+the bytes themselves: every four bytes that occur are counted as they stand, and no letter, case, digit
+or script is merged with another, neither as the byte foretold nor before it. ``byte_score`` is its mean. Spark
+counts those four bytes alone; the n-grams of classes and the triples of bytes are sums of them.
 
 Copies are no evidence: texts are dealt by a digest of language and text, each task of the
 reading side sends a text once, and the receiving side counts it once. Quartiles are taken over
@@ -24,8 +28,8 @@ whichever expects it more: texts change their language, and a quotation is no fa
 
 Per model the scores of all distinct texts that pass the base rules give quartiles; a document outside
 [q1 - spread * (q3 - q1), q3 + spread * (q3 - q1)], each side at least
-``LEAST_WIDTH`` from its quartile, is rejected. ``score`` and ``exact_score`` have a band each; a
-document lies in both.
+``LEAST_WIDTH`` from its quartile, is rejected. ``score``, ``exact_score`` and ``byte_score`` have a band
+each; a document lies in all.
 
 Defined cases: a null text is empty; a text without words has no score and
 fails the base rules; repeated rows are judged one
@@ -36,6 +40,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -60,13 +67,15 @@ MODEL_BYTES = 16 * sum(CLASSES**k for k in range(1, ORDER + 1))
 SCORE_STEP = 1 / 1024
 _LANGUAGES_HELD = 16
 #: Arrays of a model, as bytes, and their types.
-MODEL = {"keys": np.uint64, "share": np.float32, "weight": np.float32, "triples": np.int32, "times": np.int64}
+MODEL = {"keys": np.uint64, "share": np.float32, "weight": np.float32, "quads": np.uint32, "times": np.int64}
 #: All models are broadcast; more bytes than this are an error (raise ``MIN_EVENTS`` then).
 MOST_MODEL_BYTES = 1 << 30
 
+#: Each has a band of its own.
+SCORES = ("score", "exact_score", "byte_score")
 METRICS = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    + [T.StructField(n, T.DoubleType()) for n in ("score", "exact_score")]
+    + [T.StructField(n, T.DoubleType()) for n in SCORES]
 )
 
 
@@ -89,36 +98,37 @@ BORDER = ord(" ")
 _CLASS = _letter_classes()
 #: Bytes of each class that words can hold, and the border.
 _CLASS_SIZE = np.bincount(_CLASS[~SPACE | (np.arange(256) == BORDER)], minlength=CLASSES)
+#: The two classes of two bytes.
+_TWO_CLASSES = (_CLASS[:, None].astype(np.int32) << 5 | _CLASS[None, :]).reshape(-1)
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
 
-def gram_events(words: FlatWords) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes of all n-grams of classes and of all triples of bytes, in text order, and the event range of each text.
+def gram_events(words: FlatWords) -> tuple[np.ndarray, np.ndarray]:
+    """Every byte and word border with the three bytes before it, as one number, in text order, and the event range of each text.
 
     Every text is preceded by three borders; each word's end is one more event.
     """
     solid = ~SPACE[words.data]
     lengths = words.ends - words.starts
     owner = words.owner()
-    exact = np.full(int((lengths + 1).sum()) + 3 * words.texts, BORDER, np.uint8)
+    row = np.full(int((lengths + 1).sum()) + 3 * words.texts, BORDER, np.uint8)
     offset = np.arange(len(lengths)) + 3 * (owner + 1)
     letters = np.arange(int(lengths.sum())) + np.repeat(offset, lengths)
-    exact[letters] = words.data[solid]
-    row = _CLASS[exact].astype(np.int32)
-    code = row.copy()
-    code[1:] |= row[:-1] << 5
-    code[2:] |= row[:-2] << 10
-    code[3:] |= row[:-3] << 15
+    row[letters] = words.data[solid]
+    quad = row.astype(np.uint32)
+    for back in (1, 2, 3):
+        quad[back:] |= row[:-back].astype(np.uint32) << np.uint32(8 * back)
     event = np.zeros(len(row), bool)
     event[letters] = True
     event[np.cumsum(lengths) + offset] = True
-    code = code[event]
-    triple = exact.astype(np.int32)
-    triple[1:] |= exact[:-1].astype(np.int32) << 8
-    triple[2:] |= exact[:-2].astype(np.int32) << 16
     first = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths + 1)])[words.first_word]
-    return code, triple[event], first
+    return quad[event], first
+
+
+def class_codes(quads: np.ndarray) -> np.ndarray:
+    """Codes of the n-grams of classes that four bytes make."""
+    return _TWO_CLASSES[quads >> 16] << 10 | _TWO_CLASSES[quads & 0xFFFF]
 
 
 def _tally(held: tuple[np.ndarray, np.ndarray] | None, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,35 +144,28 @@ def _tally(held: tuple[np.ndarray, np.ndarray] | None, codes: np.ndarray) -> tup
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, gram, n): the n-grams of classes by their code, the triples of bytes by theirs after ``GRAMS``."""
-    held: dict[str | None, np.ndarray] = {}
-    exact: dict[str | None, tuple[np.ndarray, np.ndarray]] = {}
+    """(lang, gram, n): how often four bytes came."""
+    held: dict[str | None, tuple[np.ndarray, np.ndarray]] = {}
 
     def out() -> Iterator[pa.RecordBatch]:
-        for lang, total in held.items():
-            code = np.flatnonzero(total)
-            for gram, n in ((code, total[code]), (exact[lang][0] + GRAMS, exact[lang][1])):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(gram), pa.string()), pa.array(gram, pa.int32()), pa.array(n, pa.int64())],
-                    names=["lang", "gram", "n"],
-                )
+        for lang, (gram, n) in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(gram), pa.string()), pa.array(gram.astype(np.int64)), pa.array(n, pa.int64())],
+                names=["lang", "gram", "n"],
+            )
         held.clear()
-        exact.clear()
 
     for batch in batches:
         langs = batch.column(1).to_pylist()
         for row, end, words in word_chunks(batch.column(0)):
-            codes, triples, first = gram_events(words)
+            quads, first = gram_events(words)
             here = langs[row:end]
             kinds = {lang: i for i, lang in enumerate(dict.fromkeys(here))}
             of = np.repeat(np.array([kinds[x] for x in here]), np.diff(first))
             for lang, i in kinds.items():
-                if lang not in held:
-                    if len(held) >= _LANGUAGES_HELD:
-                        yield from out()
-                    held[lang] = np.zeros(GRAMS, np.int64)
-                held[lang] += np.bincount(codes[of == i], minlength=GRAMS)
-                exact[lang] = _tally(exact.get(lang), triples[of == i])
+                if lang not in held and len(held) >= _LANGUAGES_HELD:
+                    yield from out()
+                held[lang] = _tally(held.get(lang), quads[of == i])
     yield from out()
 
 
@@ -170,6 +173,16 @@ def _keys(order: int, grams: np.ndarray) -> np.ndarray:
     return mix64((np.uint64(order) << np.uint64(32)) + grams.astype(np.uint64))
 
 
+def _discounts(n1: float, n2: float, n3: float, n4: float) -> np.ndarray:
+    """What is taken off counts of 0, 1, 2, and 3 or more, from how many n-grams were counted once to four times."""
+    y = n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0.5
+    steps = [0.0]
+    for k, (low, high) in enumerate(((n1, n2), (n2, n3), (n3, n4)), start=1):
+        d = k - (k + 1) * y * high / low if low else y
+        steps.append(min(max(d, 0.05), k - 0.05 if k > 1 else 0.95))
+    return np.array(steps)
+
+
 def kneser_ney(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted hash arrays (keys, discounted share, weight of the shorter context) of all orders.
 
@@ -188,13 +201,7 @@ def kneser_ney(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     weight: dict[int, np.ndarray] = {}
     for order, table in tables.items():
         flat = table.reshape(-1, CLASSES).astype(np.float64)
-        n1, n2, n3, n4 = (float((flat == k).sum()) for k in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0.5
-        steps = [0.0]
-        for k, (low, high) in enumerate(((n1, n2), (n2, n3), (n3, n4)), start=1):
-            d = k - (k + 1) * y * high / low if low else y
-            steps.append(min(max(d, 0.05), k - 0.05 if k > 1 else 0.95))
-        cut = np.array(steps)[np.minimum(flat, 3).astype(int)]
+        cut = _discounts(*(float((flat == k).sum()) for k in (1, 2, 3, 4)))[np.minimum(flat, 3).astype(int)]
         total = flat.sum(axis=1, keepdims=True)
         safe = np.where(total > 0, total, 1)
         share[order] = ((flat - cut) / safe).reshape(-1)
@@ -265,13 +272,77 @@ def byte_table(triples: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.n
     return row, column.astype(np.uint8), logs
 
 
+def triple_counts(quads: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct last three of four bytes and how often each came."""
+    triples, at = np.unique((quads & 0xFFFFFF).astype(np.int32), return_inverse=True)
+    return triples, np.bincount(at, times, len(triples)).astype(np.int64)
+
+
+@dataclass
+class ByteModel:
+    """Interpolated modified Kneser-Ney over the bytes as they stand; the log probability of each n-gram that occurs."""
+
+    grams: dict[int, np.ndarray]  # sorted, by order
+    logs: dict[int, np.ndarray]
+    contexts: dict[int, np.ndarray]  # sorted; bytes before, by order of the n-gram
+    weights: dict[int, np.ndarray]  # logs of the weight of the shorter context
+    alone: np.ndarray  # log probability of each byte without context
+
+    def log_probability(self, quads: np.ndarray, order: int = ORDER) -> np.ndarray:
+        """Of the last byte, given those before it; ``quads`` are n-grams of ``order`` bytes."""
+        if order == 1:
+            return self.alone[quads]
+        known = self.grams[order]
+        at = np.minimum(np.searchsorted(known, quads), max(len(known) - 1, 0))
+        met = known[at] == quads if len(known) else np.zeros(len(quads), bool)
+        out = self.logs[order][at] if len(known) else np.zeros(len(quads), np.float32)
+        if not met.all():
+            rest = quads[~met]
+            shorter = self.log_probability(rest & np.uint32((1 << 8 * (order - 1)) - 1), order - 1)
+            if len(known):
+                shorter = shorter + _find(self.contexts[order], rest >> np.uint32(8), self.weights[order], 0.0)
+            out[~met] = shorter
+        return out
+
+
+def byte_model(quads: np.ndarray, times: np.ndarray) -> ByteModel:
+    """From sorted distinct four bytes and how often each came; lower orders count as in ``kneser_ney``."""
+    tables = {ORDER: (quads.astype(np.uint32), times.astype(np.float64))}
+    raw = tables[ORDER]
+    for order in range(ORDER - 1, 0, -1):
+        grams, at = np.unique(raw[0] & np.uint32((1 << 8 * order) - 1), return_inverse=True)
+        occurs = np.bincount(at, raw[1], len(grams))
+        ways = np.bincount(at, minlength=len(grams)).astype(np.float64)
+        raw = grams, occurs
+        # n-grams that begin with a border, as every text does, count as they occur
+        tables[order] = grams, np.where((grams >> np.uint32(8 * (order - 1))) == BORDER, occurs, ways) if order > 1 else ways
+    p = np.full(256, 1 / _CLASS_SIZE.sum())
+    logs, contexts, weights = {}, {}, {}
+    for order in range(1, ORDER + 1):
+        grams, counts = tables[order]
+        cut = _discounts(*(float((counts == k).sum()) for k in (1, 2, 3, 4)))[np.minimum(counts, 3).astype(int)]
+        contexts[order], of = np.unique(grams >> np.uint32(8), return_inverse=True)
+        total = np.bincount(of, counts, len(contexts[order]))
+        weight = np.bincount(of, cut, len(contexts[order])) / np.maximum(total, 1)
+        own = (counts - cut) / total[of]
+        if order == 1:
+            p = p * (weight[0] if len(weight) else 1.0)
+            p[grams] += own
+            alone = np.log(p).astype(np.float32)
+        else:
+            below = tables[order - 1][0]
+            shorter = p if order == 2 else lower
+            lower = own + weight[of] * (shorter[grams & 255] if order == 2 else shorter[np.searchsorted(below, grams & np.uint32((1 << 8 * (order - 1)) - 1))])
+            logs[order] = np.log(lower).astype(np.float32)
+        weights[order] = np.log(weight).astype(np.float32)
+    return ByteModel({k: g for k, (g, _) in tables.items()}, logs, contexts, weights, alone)
+
+
 def _smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-    gram, n = pdf["gram"].to_numpy(), pdf["n"].to_numpy()
-    counts = np.zeros(GRAMS, np.int64)
-    folded = gram < GRAMS
-    counts[gram[folded]] = n[folded]
-    parts = dict(zip(("keys", "share", "weight"), kneser_ney(counts), strict=True))
-    parts["triples"], parts["times"] = (gram[~folded] - GRAMS).astype(np.int32), n[~folded].astype(np.int64)
+    pdf = pdf.sort_values("gram")
+    quads, times = pdf["gram"].to_numpy().astype(np.uint32), pdf["n"].to_numpy().astype(np.int64)
+    counts = np.bincount(class_codes(quads), times, GRAMS).astype(np.int64)
+    parts = dict(zip(("keys", "share", "weight"), kneser_ney(counts), strict=True)) | {"quads": quads, "times": times}
     return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], **{name: [part.tobytes()] for name, part in parts.items()}})
 
 
@@ -308,11 +379,11 @@ def dealt_texts(documents: DataFrame) -> DataFrame:
 
 
 def fit_perplexity(documents: DataFrame, min_events: int = MIN_EVENTS) -> DataFrame:
-    """One row per language model: (lang, keys, share, weight, triples, times); '' is the model of all texts."""
-    counted = dealt_texts(documents).mapInArrow(_count_new_texts, "lang string, gram int, n long")
+    """One row per language model: (lang, keys, share, weight, quads, times); '' is the model of all texts."""
+    counted = dealt_texts(documents).mapInArrow(_count_new_texts, "lang string, gram long, n long")
     grams = materialise(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     own = grams.filter("lang IS NOT NULL AND lang != ''")
-    large = own.filter(F.col("gram") < GRAMS).groupBy("lang").agg(F.sum("n").alias("events")).filter(F.col("events") >= min_events).select("lang")
+    large = own.groupBy("lang").agg(F.sum("n").alias("events")).filter(F.col("events") >= min_events).select("lang")
     whole = grams.groupBy("gram").agg(F.sum("n").alias("n")).select(F.lit("").alias("lang"), "gram", "n")
     kept = own.join(F.broadcast(large), "lang", "left_semi").unionByName(whole)
     return materialise(kept.groupBy("lang").applyInPandas(_smooth, "lang string, " + ", ".join(f"{c} binary" for c in MODEL)))
@@ -357,27 +428,39 @@ def base_counts(words: FlatWords) -> dict[str, np.ndarray]:
     }
 
 
-_tables: dict[tuple[str, str], tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+@dataclass
+class _Table:
+    """What a task looks up in one model."""
+
+    folded: np.ndarray
+    exact: tuple[np.ndarray, np.ndarray, np.ndarray]
+    bytes: ByteModel
+
+
+_tables: dict[tuple[str, str], _Table] = {}
 
 
 def _scorer(models, ticket: str, text_at: int, lang_at: int, out_at: list[int], name: str):
     """Adds the metrics to each batch; ``models`` is a broadcast of checked size."""
 
-    def logs(lang: str, codes: np.ndarray, triples: np.ndarray) -> list[np.ndarray]:
-        """Log probability of each event's class, and of its byte."""
-        folded, (row, column, exact) = table(lang)
-        first = folded[codes].astype(np.float64)
-        return [first, first + exact[row[triples >> 8], column[triples & 255]]]
+    def logs(lang: str, quads: np.ndarray) -> Iterator[np.ndarray]:
+        """Log probability of each four bytes: of the class, of the byte inside the class too, of the byte after three bytes."""
+        model = table(lang)
+        first = model.folded[class_codes(quads)].astype(np.float64)
+        yield first
+        row, column, exact = model.exact
+        yield first + exact[row[quads >> 8 & 0xFFFF], column[quads & 255]]
+        yield model.bytes.log_probability(quads).astype(np.float64)
 
-    def table(lang: str) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def table(lang: str) -> _Table:
         key = ticket, lang
         if key not in _tables:
             stale = [k for k in _tables if k[0] != ticket]
             used = [k for k in _tables if k[0] == ticket and k[1]]
             for old in stale + used[: max(0, len(used) + 1 - _LANGUAGES_HELD)]:
                 del _tables[old]
-            parts = [np.frombuffer(part, kind) for part, kind in zip(models.value[lang], MODEL.values(), strict=True)]
-            _tables[key] = log_table(*parts[:3]), byte_table(*parts[3:])
+            *classes, quads, times = (np.frombuffer(part, kind) for part, kind in zip(models.value[lang], MODEL.values(), strict=True))
+            _tables[key] = _Table(log_table(*classes), byte_table(*triple_counts(quads, times)), byte_model(quads, times))
         return _tables[key]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,13 +468,14 @@ def _scorer(models, ticket: str, text_at: int, lang_at: int, out_at: list[int],
             langs = batch.column(lang_at).to_pylist()
             for row, end, words in word_chunks(batch.column(text_at)):
                 metrics = base_counts(words)
-                codes, triples, first = gram_events(words)
+                quads, first = gram_events(words)
+                distinct, which = np.unique(quads, return_inverse=True)
                 events = np.diff(first)
                 some = events > 0
-                totals = np.zeros((2, len(events)))
+                totals = np.zeros((len(SCORES), len(events)))
                 if some.any():
                     opens = np.concatenate([[0], np.cumsum(words.ends - words.starts + 1)[:-1]])
-                    sums = [np.add.reduceat(x, opens) for x in logs("", codes, triples)]
+                    sums = [np.add.reduceat(x[which], opens) for x in logs("", distinct)]
                     here = np.array(langs[row:end], object)
                     for lang in dict.fromkeys(langs[row:end]):
                         if lang:
@@ -399,11 +483,11 @@ def _scorer(models, ticket: str, text_at: int, lang_at: int, out_at: list[int],
                             of = np.flatnonzero(np.repeat(here == lang, words.n_words()))
                             if len(of):
                                 sizes = (words.ends - words.starts + 1)[of]
-                                for known, own in zip(sums, logs(lang, codes[at], triples[at]), strict=True):
-                                    known[of] = np.maximum(known[of], np.add.reduceat(own, np.cumsum(sizes) - sizes))
+                                for known, own in zip(sums, logs(lang, distinct), strict=True):
+                                    known[of] = np.maximum(known[of], np.add.reduceat(own[which[at]], np.cumsum(sizes) - sizes))
                     for total, known in zip(totals, sums, strict=True):
                         total[some] = np.add.reduceat(known, words.first_word[:-1][some])
-                fields = [pa.array(metrics[f.name], pa.int64()) for f in METRICS.fields[:-2]]
+                fields = [pa.array(metrics[f.name], pa.int64()) for f in METRICS.fields[: -len(SCORES)]]
                 fields += [pa.array(-total / np.maximum(events, 1), pa.float64(), mask=~some) for total in totals]
                 rules = pa.StructArray.from_arrays(fields, names=METRICS.fieldNames())
                 yield pa.RecordBatch.from_arrays(
@@ -465,14 +549,14 @@ def quality_rules(
     failed = (r["n_words"] < MIN_WORDS) | (r["n_repeat_words"] * 100 > r["n_words"] * MAX_REPEAT_PERCENT)
     judged = materialise(scored.withColumn(name, F.struct(f"{name}.*", failed.alias("base_failed"), F.col(of).alias("model"))))
     good = judged.filter(~r["base_failed"]).groupBy(F.col(of).alias("model"), one, two)
-    good = good.agg(*[F.min(r[c]).alias(c) for c in ("score", "exact_score")])
-    exact = perplexity_bands(good.select("model", F.col("exact_score").alias("score")), spread)
-    bands = perplexity_bands(good, spread).join(exact.toDF("model", "exact_low", "exact_high"), "model")
-    bands = materialise(bands).withColumnRenamed("model", "__of")
+    good = good.agg(*[F.min(r[c]).alias(c) for c in SCORES])
+    sides = {c: (c.replace("score", "low"), c.replace("score", "high")) for c in SCORES}
+    each = [perplexity_bands(good.select("model", F.col(c).alias("score")), spread).toDF("model", *sides[c]) for c in SCORES]
+    bands = materialise(reduce(lambda x, y: x.join(y, "model"), each)).withColumnRenamed("model", "__of")
     whole = judged.join(F.broadcast(bands), F.col("__of") == F.col(of), "left")
-    within = r["score"].between(F.col("low"), F.col("high")) & r["exact_score"].between(F.col("exact_low"), F.col("exact_high"))
+    within = reduce(and_, [r[c].between(*map(F.col, sides[c])) for c in SCORES])
     inside = ~r["base_failed"] & F.coalesce(within, F.lit(False))
-    bounds = [F.col(c).alias(c) for c in ("low", "high", "exact_low", "exact_high")]
+    bounds = [F.col(c).alias(c) for pair in sides.values() for c in pair]
     return whole.withColumn(name, F.struct(f"{name}.*", *bounds, inside.alias("kept"))).select(*carry, name), name
 
 

@@ -72,7 +72,7 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged, rules = quality_rules(_table(spark, folder, "documents"), carry=["doc_id"])
     first = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score", "low", "high", "model"]
-    first += ["exact_score", "exact_low", "exact_high"]
+    first += ["exact_score", "exact_low", "exact_high", "byte_score", "byte_low", "byte_high"]
     return judged.select("doc_id", *[F.col(rules)[c].alias(c) for c in first])
 
 
