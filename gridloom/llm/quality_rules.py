@@ -47,7 +47,7 @@ from operator import and_
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,6 +143,9 @@ def _tally(held: tuple[np.ndarray, np.ndarray] | None, codes: np.ndarray) -> tup
     return both[opens], np.add.reduceat(counts[by], opens)
 
 
+_GRAMS = "lang string, gram long, n long"
+
+
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, gram, n): how often four bytes came."""
     held: dict[str | None, tuple[np.ndarray, np.ndarray]] = {}
@@ -338,11 +341,26 @@ def byte_model(quads: np.ndarray, times: np.ndarray) -> ByteModel:
     return ByteModel({k: g for k, (g, _) in tables.items()}, logs, contexts, weights, alone)
 
 
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, gram, n) with the n-gram of classes in place of the four bytes."""
+    for batch in batches:
+        codes = class_codes(batch.column(1).to_numpy().astype(np.uint32))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.int64()), batch.column(2)], names=["lang", "gram", "n"])
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, quads, times): the four bytes of a batch of rows, one row for each language in it."""
+    for batch in batches:
+        of, langs = np.unique(batch.column(0).to_numpy(zero_copy_only=False).astype(object), return_inverse=True)
+        quads, times = batch.column(1).to_numpy().astype(np.uint32), batch.column(2).to_numpy()
+        arrays = [[part[langs == i].tobytes() for i in range(len(of))] for part in (quads, times)]
+        yield pa.RecordBatch.from_arrays([pa.array(of, pa.string()), *(pa.array(x, pa.binary()) for x in arrays)], names=["lang", "quads", "times"])
+
+
 def _smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("gram")
-    quads, times = pdf["gram"].to_numpy().astype(np.uint32), pdf["n"].to_numpy().astype(np.int64)
-    counts = np.bincount(class_codes(quads), times, GRAMS).astype(np.int64)
-    parts = dict(zip(("keys", "share", "weight"), kneser_ney(counts), strict=True)) | {"quads": quads, "times": times}
+    counts = np.zeros(GRAMS, np.int64)
+    counts[pdf["gram"].to_numpy()] = pdf["n"].to_numpy()
+    parts = dict(zip(("keys", "share", "weight"), kneser_ney(counts), strict=True))
     return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], **{name: [part.tobytes()] for name, part in parts.items()}})
 
 
@@ -379,14 +397,20 @@ def dealt_texts(documents: DataFrame) -> DataFrame:
 
 
 def fit_perplexity(documents: DataFrame, min_events: int = MIN_EVENTS) -> DataFrame:
-    """One row per language model: (lang, keys, share, weight, quads, times); '' is the model of all texts."""
-    counted = dealt_texts(documents).mapInArrow(_count_new_texts, "lang string, gram long, n long")
+    """(lang, keys, share, weight, quads, times); '' is the model of all texts.
+
+    A language has one row of n-grams of classes, at most ``MODEL_BYTES``, and as many of four bytes as
+    Spark made of them; the arrays of its rows are one array in pieces.
+    """
+    counted = dealt_texts(documents).mapInArrow(_count_new_texts, _GRAMS)
     grams = materialise(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     own = grams.filter("lang IS NOT NULL AND lang != ''")
     large = own.groupBy("lang").agg(F.sum("n").alias("events")).filter(F.col("events") >= min_events).select("lang")
     whole = grams.groupBy("gram").agg(F.sum("n").alias("n")).select(F.lit("").alias("lang"), "gram", "n")
-    kept = own.join(F.broadcast(large), "lang", "left_semi").unionByName(whole)
-    return materialise(kept.groupBy("lang").applyInPandas(_smooth, "lang string, " + ", ".join(f"{c} binary" for c in MODEL)))
+    kept = materialise(own.join(F.broadcast(large), "lang", "left_semi").unionByName(whole))
+    folded = kept.mapInArrow(_fold, _GRAMS).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    classes = folded.groupBy("lang").applyInPandas(_smooth, "lang string, keys binary, share binary, weight binary")
+    return materialise(classes.unionByName(kept.mapInArrow(_pack, "lang string, quads binary, times binary"), allowMissingColumns=True))
 
 
 def base_counts(words: FlatWords) -> dict[str, np.ndarray]:
@@ -460,6 +484,8 @@ def _scorer(models, ticket: str, text_at: int, lang_at: int, out_at: list[int],
             for old in stale + used[: max(0, len(used) + 1 - _LANGUAGES_HELD)]:
                 del _tables[old]
             *classes, quads, times = (np.frombuffer(part, kind) for part, kind in zip(models.value[lang], MODEL.values(), strict=True))
+            by = np.argsort(quads)
+            quads, times = quads[by], times[by]
             _tables[key] = _Table(log_table(*classes), byte_table(*triple_counts(quads, times)), byte_model(quads, times))
         return _tables[key]
 
@@ -507,10 +533,13 @@ def score_documents(documents: DataFrame, models: DataFrame, carry: list[str], m
     """``carry`` columns and the metrics as a struct column, and its name; ``model`` is the column that names each row's model."""
     name = _free(documents.columns, "rules")
     spark = documents.sparkSession
-    size = models.agg(F.sum(sum((F.length(c) for c in MODEL), F.lit(0)))).first()[0] or 0
+    size = models.agg(F.sum(sum((F.coalesce(F.length(c), F.lit(0)) for c in MODEL), F.lit(0)))).first()[0] or 0
     if size > MOST_MODEL_BYTES:
         raise ValueError(f"models of {size} bytes are more than {MOST_MODEL_BYTES}")
-    held = {r["lang"]: tuple(bytes(r[c]) for c in MODEL) for r in models.collect()}
+    pieces: dict[str, list[Row]] = {}
+    for r in models.collect():
+        pieces.setdefault(r["lang"], []).append(r)
+    held = {lang: tuple(b"".join(r[c] for r in rows if r[c]) for c in MODEL) for lang, rows in pieces.items()}
     needed = list(dict.fromkeys([*carry, "text", model]))
     schema = T.StructType([documents.schema[c] for c in carry] + [T.StructField(name, METRICS)])
     run = _scorer(spark.sparkContext.broadcast(held), uuid.uuid4().hex, needed.index("text"), needed.index(model), [needed.index(c) for c in carry], name)
@@ -539,7 +568,7 @@ def quality_rules(
     """Documents with a struct of metrics, score, model and band, base_failed and kept, and that column's name."""
     carry = documents.columns if carry is None else carry
     models = fit_perplexity(documents, min_events)
-    languages = [x["lang"] for x in models.select("lang").collect() if x["lang"]]
+    languages = [x["lang"] for x in models.select("lang").distinct().collect() if x["lang"]]
     lang = F.col("lang").cast("string")
     known = lang.isin(languages) if languages else F.lit(False)
     of, one, two = (_free(documents.columns, n) for n in ("__model", "__one", "__two"))

@@ -110,3 +110,22 @@ def test_what_stands_before_a_letter_is_told_apart(spark):
     assert not got[999].kept and sum(r.kept for r in got.values()) >= 198
     ids = {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, "").select("doc_id").collect()}
     assert ids == {i for i, r in got.items() if r.kept}
+
+
+def test_models_are_the_same_however_they_are_cut(spark):
+    """Pieces of a model of four bytes are those of any batches; together they are every four bytes of the distinct texts."""
+    rows = [(i, codes(i % 40), ("en", "de", None)[i % 3]) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = quality_rules.fit_perplexity(df, 1000).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for lang in ("", "en", "de"):
+        texts = {(t, own) for _, t, own in rows if lang in ("", own)}
+        _, quads, times = quad_counts([t for t, _ in texts])
+        pieces = [r for r in found if r.lang == lang and r.quads]
+        assert len(pieces) > 1 and sum(r.lang == lang and r.keys is not None for r in found) == 1
+        got = {int(q): int(n) for r in pieces for q, n in zip(np.frombuffer(r.quads, np.uint32), np.frombuffer(r.times, np.int64), strict=True)}
+        assert got == dict(zip(quads.tolist(), times.tolist(), strict=True))
+    assert {r.lang for r in found} == {"", "en", "de"}
